@@ -37,7 +37,7 @@ SMALL_SHARE = 8
 #: Pricing rounds of the multiplicative-weights solver and its step size.
 ROUNDS, STEP = 1500, 0.25
 #: Pieces ranked together; a length with more is split into salted parts.
-RANK_GROUP = 512
+RANK_GROUP = 128
 
 
 def token_pieces(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAPACITY, end_id=END_ID, tokenizer: str | None = None) -> DataFrame:
@@ -48,14 +48,16 @@ def token_pieces(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAP
         tok = tokens.load(tokenizer)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
             rows = ([], [], [], [], [])
-            for a, b in tokens.slices(texts):
-                for doc, raw in zip(ids[a:b], tok.ids(texts[a:b])):
-                    raw += end
-                    for k in range(0, len(raw), capacity * 4):
-                        part = raw[k : k + capacity * 4]
-                        for col, v in zip(rows, (doc, k // (capacity * 4), k // 4, len(part) // 4, zlib.crc32(part))):
+            for lo, hi in tokens.slices(texts):
+                flat, bounds = tok.flat(texts.slice(lo, hi - lo))
+                for doc, a, b in zip(ids[lo:hi], bounds.tolist(), bounds[1:].tolist()):
+                    for k in range(a, b + 1, capacity):
+                        stop = min(k + capacity, b + 1)  # the end id stands at b
+                        crc = zlib.crc32(flat[k : min(stop, b)])
+                        crc = zlib.crc32(end, crc) if stop > b else crc
+                        for col, v in zip(rows, (doc, (k - a) // capacity, k - a, stop - k, crc)):
                             col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
 

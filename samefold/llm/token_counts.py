@@ -47,26 +47,24 @@ def write_flat(docs: DataFrame, folder: str, eod_id: int, id_col="doc_id", text_
 
     def run(batches):
         tok = tokens.load(tokenizer)
-        end = np.asarray([eod_id], dtype=dtype).tobytes()
+        width = np.dtype(dtype).itemsize
         fs, root = _fs(folder)
         fs.create_dir(root, recursive=True)
         name = f"{uuid.uuid4().hex}.bin"
         done, size, out = 0, 0, None
         for b in batches:
-            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            ids, texts = b.column(0), b.column(1)
             for lo, hi in tokens.slices(texts):
                 if out is None:
                     out = fs.open_output_stream(f"{root}/{name}")
-                sizes = []
-                for raw in tok.ids(texts[lo:hi]):
-                    flat = np.frombuffer(raw, "<u4").astype(dtype)
-                    if (flat == eod_id).any():
-                        raise ValueError("a text holds the separator id")
-                    out.write(flat.tobytes() + end)
-                    size += (len(flat) + 1) * flat.itemsize
-                    sizes.append(size)
+                flat, bounds = tok.flat(texts.slice(lo, hi - lo))
+                if (flat == eod_id).any():
+                    raise ValueError("a text holds the separator id")
+                out.write(np.insert(flat, bounds[1:], eod_id).astype(dtype).tobytes())
                 n = hi - lo
-                yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"] * n, pa.string()), pa.array(range(done, done + n), pa.int64()), pa.array(ids[lo:hi], pa.int64()), pa.array(sizes, pa.int64())], ["file", "doc_index", "doc_id", "n_bytes"])
+                sizes = size + (bounds[1:] + np.arange(1, n + 1)) * width
+                size = int(sizes[-1])
+                yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"] * n, pa.string()), pa.array(range(done, done + n), pa.int64()), ids.slice(lo, n), pa.array(sizes, pa.int64())], ["file", "doc_index", "doc_id", "n_bytes"])
                 done += n
         if out is not None:
             out.close()
