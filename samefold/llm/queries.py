@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from samefold.llm import fingerprint, mixing, packing, secrets, token_counts
+from samefold.llm import fingerprint, mixing, packing, quality, secrets, token_counts, toxicity
 from samefold.llm.common import documents
 
 
+def op1_quality(spark, sf_dir):
+    return quality.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op3_toxicity(spark, sf_dir):
+    return toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_token_counts(spark, sf_dir):
     return token_counts.document_token_counts(documents(spark, sf_dir))
 
