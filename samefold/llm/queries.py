@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from samefold.llm import fingerprint, mixing, packing, quality, secrets, token_counts, toxicity
+from samefold.llm import bagminhash, embed_dedup, fingerprint, mixing, packing, quality, secrets, substring, token_counts, toxicity
 from samefold.llm.common import documents
 
 
@@ -10,6 +10,10 @@ def op1_quality(spark, sf_dir):
     return quality.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return substring.repeated_passages(documents(spark, sf_dir))
+
+
 def op3_toxicity(spark, sf_dir):
     return toxicity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -30,10 +34,18 @@ def op7_secret_scan(spark, sf_dir):
     return secrets.secret_report(documents(spark, sf_dir))
 
 
+def op8_minhash_dedup(spark, sf_dir):
+    return bagminhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_source_mixing(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op10_embedding_dedup(spark, sf_dir):
+    return embed_dedup.dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
