@@ -26,12 +26,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from samefold.llm import common, shingles
+from samefold.llm.common import slices
 from samefold.llm.components import connected_components
 
 BANDS, ROWS = 25, 5
@@ -104,11 +106,9 @@ def sketch(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     common.configure(docs.sparkSession)
 
     def run(batches):
-        from samefold.llm.tokens import slices
-
         memo: dict = {}
         for b in batches:
-            for lo, hi in slices(b.column(1), 2_000_000):
+            for lo, hi in slices(pc.binary_length(b.column(1))):
                 h, owner, w, wb, words = multisets(b.column(1).slice(lo, hi - lo), memo)
                 some = np.diff(wb) > 0
                 if not some.any():
@@ -160,18 +160,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
     def run(batches):
         for t in batches:
-            n = t.num_rows
-            h, owner, w, _, _ = multisets(pa.concat_arrays([t.column(2).cast(pa.string()), t.column(3).cast(pa.string())]))
-            ends = np.searchsorted(owner, np.arange(2 * n + 1))
-            ok = []
-            for i in range(n):
-                a, b = slice(ends[i], ends[i + 1]), slice(ends[n + i], ends[n + i + 1])
-                _, p, q = np.intersect1d(h[a], h[b], assume_unique=True, return_indices=True)
-                common_w = int(np.minimum(w[a][p], w[b][q]).sum())
-                total = int(w[a].sum() + w[b].sum()) - common_w
-                ok.append(common_w >= similarity * total)
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([t.column(0).filter(keep), t.column(1).filter(keep)], ["u", "v"])
+            size = pc.add(pc.binary_length(t.column(2)), pc.binary_length(t.column(3)))
+            for lo, hi in slices(size):
+                part = t.slice(lo, hi - lo)
+                n = part.num_rows
+                h, owner, w, _, _ = multisets(pa.concat_arrays([part.column(2).cast(pa.string()), part.column(3).cast(pa.string())]))
+                ends = np.searchsorted(owner, np.arange(2 * n + 1))
+                ok = []
+                for i in range(n):
+                    a, b = slice(ends[i], ends[i + 1]), slice(ends[n + i], ends[n + i + 1])
+                    _, p, q = np.intersect1d(h[a], h[b], assume_unique=True, return_indices=True)
+                    common_w = int(np.minimum(w[a][p], w[b][q]).sum())
+                    total = int(w[a].sum() + w[b].sum()) - common_w
+                    ok.append(common_w >= similarity * total)
+                keep = pa.array(ok, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], ["u", "v"])
 
     both = pairs.select("a", "b").join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")

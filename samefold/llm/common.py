@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,3 +85,13 @@ def tokenizer_path(path: str | None) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def slices(sizes, most: int = 2_000_000):
+    """Index ranges of an Arrow array of sizes that hold about ``most`` in all."""
+    n = len(sizes)
+    if n:
+        ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        cuts = np.unique(np.searchsorted(ends, np.arange(most, ends[-1], most)) + 1)
+        edges = np.unique(np.concatenate([[0], cuts[cuts < n], [n]])).tolist()
+        yield from zip(edges, edges[1:])

@@ -21,6 +21,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -50,7 +51,7 @@ def token_pieces(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAP
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1)
             rows = ([], [], [], [], [])
-            for lo, hi in tokens.slices(texts):
+            for lo, hi in common.slices(pc.binary_length(texts), tokens.SLICE):
                 flat, bounds = tok.flat(texts.slice(lo, hi - lo))
                 for doc, a, b in zip(ids[lo:hi], bounds.tolist(), bounds[1:].tolist()):
                     for k in range(a, b + 1, capacity):

@@ -19,6 +19,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -54,7 +55,7 @@ def write_flat(docs: DataFrame, folder: str, eod_id: int, id_col="doc_id", text_
         done, size, out = 0, 0, None
         for b in batches:
             ids, texts = b.column(0), b.column(1)
-            for lo, hi in tokens.slices(texts):
+            for lo, hi in common.slices(pc.binary_length(texts), tokens.SLICE):
                 if out is None:
                     out = fs.open_output_stream(f"{root}/{name}")
                 flat, bounds = tok.flat(texts.slice(lo, hi - lo))

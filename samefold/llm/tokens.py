@@ -22,6 +22,8 @@ from samefold.llm.common import tokenizer_path
 #: Chunks and words that one worker memoizes; when full, a memo keeps what the
 #: texts at hand use.
 MEMO = 400_000
+#: Bytes of text tokenized at once.
+SLICE = 6_000_000
 #: Separator between unseen chunks in one call; a special token of its own.
 MARK = "<|endoftext|>"
 #: Chunks without characters from here on (all of them stable under NFC, U+0130 apart) are cut
@@ -166,13 +168,3 @@ def load(path: str | None = None) -> ChunkTokenizer:
     if full not in _LOADED:
         _LOADED[full] = ChunkTokenizer(full)
     return _LOADED[full]
-
-
-def slices(texts: pa.Array, size: int = 6_000_000):
-    """Index ranges of a string array holding about ``size`` bytes each."""
-    n = len(texts)
-    if n:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-        cuts = np.unique(np.searchsorted(ends, np.arange(size, ends[-1], size)) + 1)
-        edges = np.unique(np.concatenate([[0], cuts[cuts < n], [n]])).tolist()
-        yield from zip(edges, edges[1:])
