@@ -10,8 +10,9 @@ agree with probability the weighted Jaccard similarity.
 
 Documents with equal words are one class and represented by their smallest id.
 Representatives meet in bands of the signature.  In each bucket every member is
-compared with one centre, drawn per bucket; candidates are verified on the exact
-multisets, best agreement first, and joined into components.  Then members of a
+compared with one centre, the member whose buckets are fullest: for a text and
+its edited copies that is the text.  Candidates are verified on the exact
+multisets and joined into components.  Then members of a
 bucket that still lie in different components are compared with each other, in
 growing rounds, until no untested candidate is left.  Nothing emits all pairs
 of a bucket, and nothing is capped.
@@ -40,7 +41,7 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 SIMILARITY = 0.8
 #: Deviations below the expected agreement at which a candidate is let go.
-SLACK = 4.0
+SLACK = 3.0
 #: Ids that may be broadcast to fetch the texts of candidates.
 BROADCAST_IDS = 1_000_000
 
@@ -195,17 +196,19 @@ def near_duplicates(docs: DataFrame, similarity=SIMILARITY, id_col="doc_id", tex
     member = common.staged(sk.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = sk.join(member.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_d")), "doc_id").where("digest = _d").select("doc_id", "sig")
     bands = common.staged(band_rows(reps), "bands")
-    pick = F.struct(F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("centre"))
-    centres = bands.groupBy("band", "key").agg(F.min(pick).alias("c"), F.count("*").alias("n")).where("n > 1").select("band", "key", "c.centre")
-    crowded = common.staged(bands.join(centres, ["band", "key"]), "crowded")
+    sizes = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = common.staged(bands.join(sizes, ["band", "key"]), "shared")
+    popular = shared.groupBy("doc_id").agg(F.sum("n").alias("popularity"))
+    shared = shared.join(popular, "doc_id").select("band", "key", "doc_id", "popularity")
+    shared = common.staged(shared, "popular")
+    centres = shared.groupBy("band", "key").agg(F.max(F.struct("popularity", "doc_id"))["doc_id"].alias("centre"))
+    crowded = common.staged(shared.join(centres, ["band", "key"]), "crowded")
     stars = crowded.where("doc_id <> centre").select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
     sig = common.staged(reps.join(crowded.select("doc_id").distinct(), "doc_id", "left_semi"), "signatures")
     candidates = common.staged(_agreement(stars, sig), "candidates")
     texts = _texts(docs, crowded.select("doc_id"), id_col, text_col)
 
-    ends = candidates.select(F.explode(F.array("a", "b")).alias("doc_id"), "a", "b", "agree")
-    best = ends.withColumn("r", F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("agree"), "a", "b"))).where("r = 1").select("a", "b").distinct()
-    tried = common.staged(best, "tried")
+    tried = common.staged(candidates.select("a", "b"), "tried")
     links = common.staged(_verified(tried, texts, similarity), "links")
     comps = common.staged(connected_components(links), "components")
     width = 1
