@@ -42,12 +42,16 @@ REGISTERS = BANDS * ROWS
 SIMILARITY = 0.8
 #: Deviations below the expected agreement at which a candidate is let go.
 SLACK = 3.0
+#: Registers and slack of the sketch for members that one centre did not settle.
+FINE, FINE_SLACK = 1024, 4.0
+#: Members that one task compares with their bucket.
+QUERIES = 512
 #: Ids that may be broadcast to fetch the texts of candidates.
 BROADCAST_IDS = 1_000_000
 
 
-def least_agreement(similarity=SIMILARITY, registers=REGISTERS) -> int:
-    return int(np.floor(registers * similarity - SLACK * np.sqrt(registers * similarity * (1 - similarity))))
+def least_agreement(similarity=SIMILARITY, registers=REGISTERS, slack=SLACK) -> int:
+    return int(np.floor(registers * similarity - slack * np.sqrt(registers * similarity * (1 - similarity))))
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -211,41 +215,94 @@ def near_duplicates(docs: DataFrame, similarity=SIMILARITY, id_col="doc_id", tex
     tried = common.staged(candidates.select("a", "b"), "tried")
     links = common.staged(_verified(tried, texts, similarity), "links")
     comps = common.staged(connected_components(links), "components")
-    width = 1
+    width = 16
     while True:
-        cross = common.staged(_cross_pairs(crowded, comps, sig, tried), "cross")
+        cross = common.staged(_cross_pairs(crowded, comps, texts, tried), "cross")
         if cross.isEmpty():
             break
-        width *= 4
-        ends = cross.select(F.explode(F.array("a", "b")).alias("doc_id"), "a", "b", "agree")
-        some = ends.withColumn("r", F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("agree"), "a", "b"))).where(F.col("r") <= width).select("a", "b").distinct()
+        some = cross.withColumn("r", F.row_number().over(W.partitionBy("x").orderBy(F.desc("agree"), "a", "b"))).where(F.col("r") <= width).select("a", "b")
         some = common.staged(some, "tried")
         tried = tried.unionByName(some)
         more = common.staged(_verified(some, texts, similarity), "links")
         if not more.isEmpty():
             links = links.unionByName(more)
             comps = common.staged(connected_components(links), "components")
+        width *= 16
     group = sk.select("doc_id", "digest").join(member, "digest").join(comps.toDF("rep", "component"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("group_id"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     out = ids.join(group, "doc_id", "left").withColumn("group_id", F.coalesce("group_id", "doc_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("group_id"))
 
 
-def _cross_pairs(crowded: DataFrame, comps: DataFrame, sig: DataFrame, tried: DataFrame) -> DataFrame:
+def _fine_sketch(texts: DataFrame) -> DataFrame:
+    """(doc_id, sig, fine): the band registers and a byte each of ``FINE`` others."""
+
+    def run(batches):
+        for b in batches:
+            for lo, hi in slices(pc.binary_length(b.column(1))):
+                h, owner, w, _, _ = multisets(b.column(1).slice(lo, hi - lo))
+                sig = signatures(h, owner, w, hi - lo)
+                fine = signatures(h, owner, w, hi - lo, FINE).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (sig, fine))], ["doc_id", "sig", "fine"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, sig binary, fine binary")
+
+
+def _cross_pairs(crowded: DataFrame, comps: DataFrame, texts: DataFrame, tried: DataFrame) -> DataFrame:
     """Untested candidates of one bucket that lie in different components.
 
     Only members outside the bucket's largest component look for partners, so a
-    bucket that one component fills costs nothing.
+    bucket that one component fills costs nothing.  They are dealt in chunks of
+    ``QUERIES``; the bucket streams past each chunk, and only pairs whose fine
+    sketches agree enough come out, each from the first band that they share.
     """
     rows = crowded.select("band", "key", "doc_id").join(comps.toDF("doc_id", "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     sizes = rows.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "component"))["component"].alias("home"), F.count("*").alias("kinds")).where("kinds > 1").drop("kinds")
+    best = F.max(F.struct("n", "component"))
+    mixed = sizes.groupBy("band", "key").agg(best["component"].alias("home"), F.count("*").alias("kinds"), (F.sum("n") - best["n"]).alias("apart")).where("kinds > 1")
+    mixed = mixed.select("band", "key", "home", F.ceil(F.col("apart") / QUERIES).cast("int").alias("chunks"))
     rows = common.staged(rows.join(mixed, ["band", "key"]), "mixed")
-    left = rows.where("component <> home").select("band", "key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    right = rows.select("band", "key", F.col("doc_id").alias("y"), F.col("component").alias("cy"), "home")
-    pairs = left.join(right, ["band", "key"]).where("cx <> cy AND (cy = home OR x < y)")
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    return _agreement(pairs, sig)
+    fine = common.staged(_fine_sketch(texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")), "fine")
+    own = F.struct(F.lit(True).alias("query"), F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("chunk"))
+    past = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.lit(False).alias("query"), c.alias("chunk")))
+    dealt = rows.withColumn("at", F.explode(F.when(F.col("component") == F.col("home"), past).otherwise(F.concat(F.array(own), past)))).select("band", "key", "at.chunk", "at.query", "doc_id", "component", "home")
+    dealt = dealt.join(fine, "doc_id").select("band", "key", "chunk", "query", "doc_id", "component", "home", "sig", "fine")
+    parts = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(parts, "band", "key", "chunk").sortWithinPartitions("band", "key", "chunk", F.desc("query"))
+    least = least_agreement(registers=FINE, slack=FINE_SLACK)
+
+    def run(batches):
+        key, held = None, []
+        for b in batches:
+            band, k, chunk, query, doc, comp, home = (b.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+            sig = np.frombuffer(b"".join(b.column(7).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
+            fine = np.frombuffer(b"".join(b.column(8).to_pylist()), np.uint8).reshape(-1, FINE)
+            cut = np.flatnonzero((np.diff(band) != 0) | (np.diff(k) != 0) | (np.diff(chunk) != 0) | (np.diff(query) != 0)) + 1
+            xs, ys, agree = [], [], []
+            for lo, hi in zip([0, *cut], [*cut, len(band)]):
+                now = (int(band[lo]), int(k[lo]), int(chunk[lo]))
+                if now != key:
+                    key, held = now, []
+                if query[lo]:
+                    held.extend((doc[i], comp[i], sig[i], fine[i]) for i in range(lo, hi))
+                    continue
+                part = slice(lo, hi)
+                for x, cx, sx, fx in held:
+                    ok = np.flatnonzero((comp[part] != cx) & ((comp[part] == home[part]) | (x < doc[part])))
+                    n = (fine[part][ok] == fx).sum(axis=1)
+                    near = n >= least
+                    ok, n = ok[near], n[near]
+                    shared = (sig[part][ok] == sx).all(axis=2)
+                    first = shared.argmax(axis=1) == key[0]
+                    xs.extend([x] * int(first.sum()))
+                    ys.extend(doc[part][ok[first]].tolist())
+                    agree.extend(n[first].tolist())
+            if xs:
+                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64()), pa.array(agree, pa.int32())], ["x", "y", "agree"])
+
+    found = dealt.mapInArrow(run, "x long, y long, agree int")
+    pairs = found.select("x", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "agree").dropDuplicates(["a", "b"])
+    return pairs.join(tried, ["a", "b"], "left_anti")
 
 
 def drop_near_duplicates(docs: DataFrame, similarity=SIMILARITY, id_col="doc_id", text_col="text") -> DataFrame:
