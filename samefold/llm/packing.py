@@ -112,7 +112,7 @@ def configurations(units: np.ndarray, demand: np.ndarray, room: int, rounds=ROUN
         load[kinds] += amount * counts / demand[kinds]
         key = tuple(zip(kinds.tolist(), counts.tolist()))
         total[key] = total.get(key, 0.0) + amount
-    scale = max(float(load.min()), 1e-12)
+    scale = max(float(load.min(initial=np.inf)), 1e-12)
     return [(dict(k), x / scale) for k, x in total.items()]
 
 

@@ -1,0 +1,30 @@
+import corpus_pipeline
+import pytest
+from samefold.llm import bagminhash, packing, secrets, toxicity
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    marks = spark.read.parquet(f"{SF}/labels.parquet")
+    clean = corpus_pipeline.toxicity_stage(spark, docs, SF)
+    toxic = {r.doc_id for r in toxicity.classify(docs, marks).where("predicted = 1").collect()}
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in docs.collect()} - toxic
+    single = corpus_pipeline.near_dedup_stage(spark, docs, SF)
+    assert {r.doc_id for r in single.collect()} == {r.doc_id for r in bagminhash.near_duplicates(docs).where("kept").collect()}
+    masked = corpus_pipeline.secrets_stage(spark, docs, SF)
+    assert masked.columns == docs.columns and masked.count() == docs.count()
+    assert secrets.secret_report(masked).where("n_assign > 0 AND base_sha256 IS NULL").count() == 0
+
+
+def test_run(spark):
+    out = corpus_pipeline.run(spark, SF)
+    assert out.columns == packing.best_fit_pack(spark.read.parquet(f"{SF}/documents.parquet")).columns
+    assert 0 < out.count()
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_empty_input(spark, name):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    assert dict(corpus_pipeline.STAGES)[name](spark, docs, SF).count() == 0
