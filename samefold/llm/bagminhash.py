@@ -124,7 +124,7 @@ def sketch(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo).filter(pa.array(some)), pa.array(dig, pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], ["doc_id", "digest", "sig"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
-    return src.mapInArrow(run, "doc_id long, digest binary, sig binary")
+    return src.mapInArrow(common.tidied(run), "doc_id long, digest binary, sig binary")
 
 
 def band_rows(sigs: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def band_rows(sigs: DataFrame) -> DataFrame:
             ids = b.column(0).take(pa.array(np.repeat(np.arange(len(sig)), BANDS)))
             yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(sig))), pa.array(key.view(np.int64)), ids], ["band", "key", "doc_id"])
 
-    return sigs.select("doc_id", "sig").mapInArrow(run, "band int, key long, doc_id long")
+    return sigs.select("doc_id", "sig").mapInArrow(common.tidied(run), "band int, key long, doc_id long")
 
 
 def _agreement(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
@@ -157,7 +157,7 @@ def _agreement(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
             ok = pa.array(n >= least_agreement())
             yield pa.RecordBatch.from_arrays([t.column(0).filter(ok), t.column(1).filter(ok), pa.array(n.astype(np.int32)).filter(ok)], ["a", "b", "agree"])
 
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, agree int")
+    return both.select("a", "b", "sa", "sb").mapInArrow(common.tidied(run), "a long, b long, agree int")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -182,7 +182,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
                 yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], ["u", "v"])
 
     both = pairs.select("a", "b").join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "u long, v long")
+    return both.select("a", "b", "ta", "tb").mapInArrow(common.tidied(run), "u long, v long")
 
 
 def _texts(docs: DataFrame, ids: DataFrame, id_col, text_col) -> DataFrame:
@@ -245,7 +245,7 @@ def _fine_sketch(texts: DataFrame) -> DataFrame:
                 fine = signatures(h, owner, w, hi - lo, FINE).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (sig, fine))], ["doc_id", "sig", "fine"])
 
-    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, sig binary, fine binary")
+    return texts.select("doc_id", "text").mapInArrow(common.tidied(run), "doc_id long, sig binary, fine binary")
 
 
 def _cross_pairs(crowded: DataFrame, comps: DataFrame, texts: DataFrame, tried: DataFrame) -> DataFrame:
@@ -300,7 +300,7 @@ def _cross_pairs(crowded: DataFrame, comps: DataFrame, texts: DataFrame, tried:
             if xs:
                 yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64()), pa.array(agree, pa.int32())], ["x", "y", "agree"])
 
-    found = dealt.mapInArrow(run, "x long, y long, agree int")
+    found = dealt.mapInArrow(common.tidied(run), "x long, y long, agree int")
     pairs = found.select("x", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "agree").dropDuplicates(["a", "b"])
     return pairs.join(tried, ["a", "b"], "left_anti")
 

@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", with_canonic
             yield pa.RecordBatch.from_arrays(cols, names)
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "doc_id long, fingerprint string" + ", canonical string" * with_canonical)
+    return src.mapInArrow(common.tidied(run), "doc_id long, fingerprint string" + ", canonical string" * with_canonical)
 
 
 def exact_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
@@ -151,7 +151,7 @@ def edited_fingerprints(docs: DataFrame, id_col="doc_id", text_col="text") -> Da
                 last = None if ghost else (rng, row)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 7, (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()))], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return with_next(docs, id_col, text_col).mapInArrow(scan, out_schema)
+    return with_next(docs, id_col, text_col).mapInArrow(common.tidied(scan), out_schema)
 
 
 def fingerprint_report(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:

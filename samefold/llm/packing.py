@@ -63,7 +63,7 @@ def token_pieces(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAP
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return src.mapInArrow(common.tidied(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def _price(value: np.ndarray, units: np.ndarray, room: int) -> list[int]:
@@ -226,4 +226,4 @@ def best_fit_pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CA
             cols = [b.column(i) for i in range(5)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(run[:, 3] + rank - run[:, 1]), pa.array(run[:, 4])], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(common.tidied(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -114,7 +114,7 @@ def model(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text"):
             texts = b.column(0).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in terms(texts).astype(np.float16)], pa.binary()), b.column(1), b.column(2)], ["x", "y", "doc_id"])
 
-    got = rows.select("text", "y", "doc_id").mapInArrow(encode, "x binary, y int, doc_id long").orderBy("doc_id").collect()
+    got = rows.select("text", "y", "doc_id").mapInArrow(common.tidied(encode), "x binary, y int, doc_id long").orderBy("doc_id").collect()
     n = sum(totals.values())
     prior = totals.get(1, 0) / n if n else 0.5
     if len(got) < 2:
@@ -145,5 +145,5 @@ def score(docs: DataFrame, labels: DataFrame, threshold=0.3, id_col="doc_id", te
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p, pa.float64())], ["doc_id", "score"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = src.mapInArrow(run, "doc_id long, score double")
+    out = src.mapInArrow(common.tidied(run), "doc_id long, score double")
     return out.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -26,7 +26,7 @@ def word_hashes(texts: pa.Array, memo: dict | None = None) -> tuple[np.ndarray,
     split = pc.utf8_split_whitespace(plain)
     coded = split.flatten().dictionary_encode()
     words = coded.dictionary.to_pylist()
-    if len(memo) > 400_000:
+    if len(memo) > 200_000:
         memo.clear()
     got = []
     for w in words:

@@ -71,7 +71,7 @@ def write_flat(docs: DataFrame, folder: str, eod_id: int, id_col="doc_id", text_
             out.close()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "file string, doc_index long, doc_id long, n_bytes long")
+    return src.mapInArrow(common.tidied(run), "file string, doc_index long, doc_id long, n_bytes long")
 
 
 def count_tokens(files: DataFrame, eod_id: int, dtype="<u2", block_bytes=BLOCK_BYTES) -> DataFrame:
@@ -97,7 +97,7 @@ def count_tokens(files: DataFrame, eod_id: int, dtype="<u2", block_bytes=BLOCK_B
             kinds = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], ["file", "block", "n", "first", "last", "gaps", "file_tokens"])
 
-    found = common.staged(blocks.mapInArrow(scan, "file string, block int, n long, first long, last long, gaps array<long>, file_tokens long"), "blocks")
+    found = common.staged(blocks.mapInArrow(common.tidied(scan), "file string, block int, n long, first long, last long, gaps array<long>, file_tokens long"), "blocks")
     before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     scanned = found.select("file", "block", "n", "first", "last", "file_tokens",
                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"),

@@ -21,9 +21,9 @@ from samefold.llm.common import tokenizer_path
 
 #: Chunks and words that one worker memoizes; when full, a memo keeps what the
 #: texts at hand use.
-MEMO = 400_000
+MEMO = 250_000
 #: Bytes of text tokenized at once.
-SLICE = 6_000_000
+SLICE = 4_000_000
 #: Separator between unseen chunks in one call; a special token of its own.
 MARK = "<|endoftext|>"
 #: Chunks without characters from here on (all of them stable under NFC, U+0130 apart) are cut

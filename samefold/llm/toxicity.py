@@ -108,7 +108,7 @@ def select_features(rows: DataFrame, features=FEATURES) -> list[str]:
     n1, n0 = (rows.agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).first()) or (0, 0)
     if not n1 or not n0:
         return []
-    counts = rows.select("text", "y").mapInArrow(explode, "feature string, y int").groupBy("feature").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    counts = rows.select("text", "y").mapInArrow(common.tidied(explode), "feature string, y int").groupBy("feature").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     counts = counts.where((F.col("a") + F.col("b") >= LEAST_DOCS))
     p1, p0 = (F.col("a") + 0.5) / (n1 + 1.0), (F.col("b") + 0.5) / (n0 + 1.0)
     # signed root of the two-sample score statistic; toxic cues are rare words
@@ -149,7 +149,7 @@ def fit(rows: DataFrame, totals: dict[int, int], names: list[str], swap=SWAP, ri
             zs = vectors(pa.array(other, pa.string()), share.value)
             yield pa.RecordBatch.from_arrays([pa.array(xs, pa.list_(pa.int64())), pa.array([z if o is not None else None for z, o in zip(zs, other)], pa.list_(pa.int64())), b.column(1)], ["x", "z", "y"])
 
-    data = rows.orderBy("doc_id").select("text", "y").mapInArrow(encode, "x array<long>, z array<long>, y int").collect()
+    data = rows.orderBy("doc_id").select("text", "y").mapInArrow(common.tidied(encode), "x array<long>, z array<long>, y int").collect()
     m = len(names)
     y = np.asarray([r.y for r in data], float)
     ri = np.repeat(np.arange(len(data)), [len(r.x) for r in data])
@@ -190,14 +190,14 @@ def score(docs: DataFrame, names: list[str], beta: np.ndarray, id_col="doc_id",
         index, weights = share.value
         memo: dict = {}
         for b in batches:
-            if len(memo) > 400_000:
+            if len(memo) > 200_000:
                 memo.clear()
             logit = np.asarray([weights[x].sum() for x in vectors(b.column(1), index, memo)]) + weights[-1]
             p = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p, pa.float64())], ["doc_id", "score"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(run, "doc_id long, score double")
+    return src.mapInArrow(common.tidied(run), "doc_id long, score double")
 
 
 def model(docs: DataFrame, labels: DataFrame, label_col="toxic", id_col="doc_id", text_col="text") -> tuple[list[str], np.ndarray]:
@@ -228,9 +228,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold=0.5, id_col="doc_id
         index, weights = share.value
         memo: dict = {}
         for b in batches:
-            if len(memo) > 400_000:
+            if len(memo) > 200_000:
                 memo.clear()
             logit = np.asarray([weights[x].sum() for x in vectors(b.column(at), index, memo)]) + weights[-1]
             yield b.filter(pa.array(1 / (1 + np.exp(-np.clip(logit, -40, 40))) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.tidied(run), docs.schema)
