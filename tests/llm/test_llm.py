@@ -5,6 +5,7 @@ import math
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -150,6 +151,26 @@ def test_mixing_counts(spark, odd):
     assert {r.source for r in mixing.mix(odd, weights=none).collect()} <= {"a"}
 
 
+def test_mixing_a_rare_source(spark):
+    rows = [(i, f"t{i}", None, "rare" if i < 3 else "common", 1) for i in range(6003)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    rate = {r.source: r.rate for r in mixing.rates(docs).collect()}
+    parts = math.ceil(rate["rare"] / mixing.PART_RATE)
+    assert parts == 6
+    got = mixing.mix(docs)
+    copies = Counter(r.doc_id for r in got.collect())
+    for i in range(3):
+        texts = [f"{mixing.SEED}:{i}", *[f"{mixing.SEED}:{i}:{k}" for k in range(1, parts)]]
+        us = [int(hashlib.md5(t.encode()).hexdigest()[:13], 16) / 2**52 for t in texts]
+        assert copies[i] == sum(mixing.poisson_count(rate["rare"] / parts, u) for u in us)
+    assert abs(sum(copies[i] for i in range(3)) / (3 * rate["rare"]) - 1) < 0.1
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    cols = ["doc_id", "copy_number", "order_key"]
+    want = sorted(con.sql(f"SELECT {', '.join(cols)} FROM ({mixing.ORACLE_SQL})").fetchall())
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == want
+
+
 def test_bagminhash_is_unbiased():
     rnd = np.random.default_rng(0)
     a = {i: int(x) for i, x in enumerate(rnd.integers(1, 9, 60))}
