@@ -88,7 +88,7 @@ def mix(docs: DataFrame, id_col="doc_id", source_col="source", weights: DataFram
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # hash keys are uniform, so equal intervals are equal shares: no sampling pass
-    return out.repartition(parts, F.floor(F.col("order_key") * parts)).sortWithinPartitions("order_key")
+    return out.repartitionById(parts, F.floor(F.col("order_key") * parts).cast("int")).sortWithinPartitions("order_key")
 
 
 def poisson_count(rate: float, u: float) -> int:

@@ -148,6 +148,8 @@ def test_mixing_counts(spark, odd):
     assert Counter(r.doc_id for r in got) == +want
     assert mixing.mix(odd.limit(0)).count() == 0
     none = spark.createDataFrame([("a", 1.0)], "source string, weight double")
+    dealt = mixing.mix(odd).select(F.spark_partition_id().alias("p"), "order_key").collect()
+    assert [r.order_key for r in sorted(dealt, key=lambda r: r.p)] == sorted(r.order_key for r in dealt)
     assert {r.source for r in mixing.mix(odd, weights=none).collect()} <= {"a"}
 
 
