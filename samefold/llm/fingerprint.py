@@ -112,7 +112,7 @@ def with_next(docs: DataFrame, id_col="doc_id", text_col="text", rows_per_range=
     ghost = F.struct(F.col("to_range").alias("range"), F.lit(True).alias("ghost"))
     rows = rows.withColumn("at", F.explode(F.when(F.col("to_range").isNull(), F.array(own)).otherwise(F.array(own, ghost))))
     rows = rows.select("at.range", "at.ghost", "key", "doc_id", "text")
-    return rows.repartition(parts, "range").sortWithinPartitions("range", "ghost", "key", "text")
+    return rows.repartitionById(parts, "range").sortWithinPartitions("range", "ghost", "key", "text")
 
 
 def edited_fingerprints(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
