@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from samefold.llm import common
 
 LOWEST = -(1 << 63)
+#: Fewer than this many keys can hold more than 1 / HOT_KEYS of the rows each.
+HOT_KEYS = 2000
+#: Members of a bucket whose texts meet its first text in one group.
+BUCKET_GROUP = 128
 
 
 def canonical(text: str | None) -> str:
@@ -39,8 +43,8 @@ def likeness(a: str, b: str, fa: str, fb: str) -> float:
     return 1.0 if fa == fb and a == b else 0.0
 
 
-def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", with_canonical=False) -> DataFrame:
-    """Rows (doc_id, fingerprint[, canonical]) of every document."""
+def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", with_canonical=False, carry: str | None = None) -> DataFrame:
+    """Rows (doc_id, fingerprint[, canonical][, the integer column ``carry``]) of every document."""
     common.configure(docs.sparkSession)
 
     def run(batches):
@@ -51,10 +55,25 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", with_canonic
             if with_canonical:
                 cols.append(pa.array(canon, pa.large_string()).cast(pa.string()))
                 names.append("canonical")
+            if carry:
+                cols.append(b.column(2))
+                names.append(carry)
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return src.mapInArrow(common.tidied(run), "doc_id long, fingerprint string" + ", canonical string" * with_canonical)
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(carry).cast("long").alias(carry)] if carry else []))
+    return src.mapInArrow(common.tidied(run), "doc_id long, fingerprint string" + ", canonical string" * with_canonical + (f", {carry} long" if carry else ""))
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has a row a key and its number ``n`` of rows.
+
+    Keys with more than 1 / ``HOT_KEYS`` of all ``total`` rows, of which there are
+    fewer than ``HOT_KEYS``, are broadcast, so their rows stay where they are; the
+    rows of any other key are too few to weigh on a task.
+    """
+    hot = F.col(n) * HOT_KEYS > total
+    few = F.broadcast(table.where(hot))
+    return rows.join(few, keys).unionByName(rows.join(F.broadcast(table.where(hot).select(keys)), keys, "left_anti").join(table.where(~hot), keys))
 
 
 def exact_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
@@ -62,23 +81,28 @@ def exact_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
 
     Fingerprints alone are counted first, with map-side combining.  Only members
     of a bucket of two or more send their text on, to be compared byte by byte
-    with the text of the bucket's first document; AQE splits a hot bucket, whose
-    other side is the one row of its first document.  Texts that differ inside a
+    with the text of the bucket's first document, in groups of about
+    ``BUCKET_GROUP`` members with a copy of that text each.  Texts that differ inside a
     bucket form classes of their own by SHA-256 of the canonical bytes.
     """
     fps = common.staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    sizes = fps.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min(F.coalesce("doc_id", F.lit(LOWEST))).alias("first_key")).where("n > 1")
-    many = fps.join(sizes, "fingerprint").select("doc_id", "fingerprint", "first_key")
+    total = fps.count()
+    sizes = common.staged(fps.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    groups = F.ceil(F.col("n") / BUCKET_GROUP)
+    many = join_counted(fps, sizes, ["fingerprint"], "n", total)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))
-    wanted = many.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("_key")).distinct()
-    involved = docs.withColumn("_key", key).join(wanted, "_key", "left_semi")
-    texts = fingerprints(involved, id_col, text_col, with_canonical=True)
+    # an id met in several buckets takes the fewest groups, which all of them have
+    wanted = many.groupBy(F.coalesce("doc_id", F.lit(LOWEST)).alias("_key")).agg(F.min(groups).alias("_groups"))
+    involved = docs.select(key.alias("_key"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "_key")
+    involved = involved.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.col("_groups")))
+    texts = fingerprints(involved, with_canonical=True, carry="group")
     first = texts.groupBy("fingerprint").agg(F.min_by("canonical", F.coalesce("doc_id", F.lit(LOWEST))).alias("first_text"))
-    compared = texts.join(sizes, "fingerprint").join(first, "fingerprint").select(
+    first = first.join(sizes, "fingerprint").select("fingerprint", "first_text", F.explode(F.sequence(F.lit(0).cast("long"), groups - 1)).alias("group"))
+    compared = texts.join(first, ["fingerprint", "group"]).select(
         "doc_id", "fingerprint", F.when(F.col("canonical") == F.col("first_text"), F.lit("")).otherwise(F.sha2("canonical", 256)).alias("split"))
     compared = common.staged(compared, "buckets")
-    classes = compared.groupBy("fingerprint", "split").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_equal"))
-    equal = compared.join(classes, ["fingerprint", "split"]).select("doc_id", "fingerprint", "first_id", "n_equal").dropDuplicates(["doc_id", "fingerprint", "first_id"])
+    classes = common.staged(compared.groupBy("fingerprint", "split").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_equal")), "classes")
+    equal = join_counted(compared, classes, ["fingerprint", "split"], "n_equal", total).select("doc_id", "fingerprint", "first_id", "n_equal").dropDuplicates(["doc_id", "fingerprint", "first_id"])
     return fps.join(equal, (fps.doc_id.eqNullSafe(equal.doc_id)) & (fps.fingerprint == equal.fingerprint), "left").select(
         fps.doc_id, fps.fingerprint, F.coalesce("first_id", fps.doc_id).alias("first_id"), F.coalesce("n_equal", F.lit(1)).alias("n_equal"))
 

@@ -110,6 +110,16 @@ def test_fingerprints_brute_force(spark, odd, sample):
     assert fingerprint.fingerprint_report(odd.limit(0)).count() == 0
 
 
+def test_hot_bucket_of_equal_texts(spark):
+    rows = [(i, "Hot  copy" if i % 2 else "hot copy") for i in range(700)] + [(i, f"pair {i // 2}") for i in range(700, 3700)] + [(i, f"single {i}") for i in range(3700, 3720)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("group", F.lit("x"))
+    got = {r.doc_id: (r.first_id, r.n_equal) for r in fingerprint.exact_groups(docs).collect()}
+    members = {}
+    for i, t in rows:
+        members.setdefault(fingerprint.canonical(t), []).append(i)
+    assert got == {i: (min(m), len(m)) for m in members.values() for i in m}
+
+
 def test_secret_scan(spark, odd, tmp_path):
     got = {r.doc_id: r for r in secrets.secret_report(odd).collect()}
     r = got[None]
