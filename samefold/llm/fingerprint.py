@@ -95,7 +95,7 @@ def exact_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
     wanted = many.groupBy(F.coalesce("doc_id", F.lit(LOWEST)).alias("_key")).agg(F.min(groups).alias("_groups"))
     involved = docs.select(key.alias("_key"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "_key")
     involved = involved.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.col("_groups")))
-    texts = fingerprints(involved, with_canonical=True, carry="group")
+    texts = common.staged(fingerprints(involved, with_canonical=True, carry="group"), "texts")  # read twice
     first = texts.groupBy("fingerprint").agg(F.min_by("canonical", F.coalesce("doc_id", F.lit(LOWEST))).alias("first_text"))
     first = first.join(sizes, "fingerprint").select("fingerprint", "first_text", F.explode(F.sequence(F.lit(0).cast("long"), groups - 1)).alias("group"))
     compared = texts.join(first, ["fingerprint", "group"]).select(
