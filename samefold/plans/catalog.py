@@ -14,8 +14,6 @@ from samefold.sources.fixtures import ENTITIES_SQL, NORM, NUMBERED_SQL
 
 R: dict = {}
 SQL: dict[str, str] = {}
-#: Caps that show their effect on the small tables.
-CAPS = {r: 50 for r in blocking.RULES}
 TOP = 20
 CORE = ("exact_name", "token12", "prefix5", "suffix4", "last_token", "name_token_overlap", "address_token_overlap")
 
@@ -124,7 +122,7 @@ cand AS (SELECT sid, cid, block_score, block_rules, row_number() OVER (PARTITION
 
 
 def _hits(s, d, rules=CORE, kind="entities"):
-    return blocking.hits(*_pair(s, d, kind), rules, CAPS)
+    return blocking.hits(*_pair(s, d, kind), rules)
 
 
 def _cand(s, d, rules=CORE, kind="entities"):
@@ -137,7 +135,7 @@ for _rule in blocking.RULES:
         lambda s, d, r=_rule, k="numbered" if _num else "entities": _hits(s, d, [r], k).select("sid", "cid", "n"))
 H = hits_sql(CORE)
 query("oversized_blocks", H + "SELECT rule, key, country, count(*) AS n FROM ka WHERE m > 50 GROUP BY ALL")(
-    lambda s, d: blocking.oversized(blocking.keys(_pair(s, d)[1], CORE), CAPS))
+    lambda s, d: blocking.oversized(blocking.keys(_pair(s, d)[1], CORE)))
 query("rank_votes", H + "SELECT sid, cid, votes AS block_score, block_rules FROM scored")(lambda s, d: blocking.scored(_hits(s, d), "votes"))
 query("rank_max", H + "SELECT sid, cid, top AS block_score, block_rules FROM scored")(lambda s, d: blocking.scored(_hits(s, d), "max"))
 query("rank_sum", H + "SELECT sid, cid, block_score, block_rules FROM scored")(lambda s, d: blocking.scored(_hits(s, d)))

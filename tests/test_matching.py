@@ -69,3 +69,12 @@ def test_stream_matches_each_arrival_once(spark, sides, tmp_path):
         match_stream(spark, inp, sides[0].schema, sides[1], out, cp).awaitTermination(120)
     got = spark.read.parquet(out)
     assert got.count() == 4 and got.select("batch").distinct().count() == 2
+
+
+def test_cap_of_50_drops_larger_blocks(spark):
+    s1 = spark.createDataFrame([("S1-1", "acme", "", "us"), ("S1-2", "beta", "", "us")], REC)
+    src = spark.createDataFrame([(f"S2-{n}-{i}", n, "", "us") for n, k in (("acme", 51), ("beta", 50)) for i in range(k)], REC)
+    rule = ["exact_name"]
+    assert {(r.sid, r["count"]) for r in blocking.hits(s1, src, rule).groupBy("sid").count().collect()} == {("S1-1", 51), ("S1-2", 50)}
+    assert {(r.sid, r["count"]) for r in blocking.hits(s1, src, rule, {"exact_name": 50}).groupBy("sid").count().collect()} == {("S1-2", 50)}
+    assert [(r.key, r.n) for r in blocking.oversized(blocking.keys(src, rule), {"exact_name": 50}).collect()] == [("acme", 51)]

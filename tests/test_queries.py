@@ -29,3 +29,11 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", ["normalize_nfkc", "features_fuzzy"])
 def test_rows_only(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
+
+
+def test_blocks_over_50_rows_are_kept(spark, tmp_path):
+    docs = [(i, "one two three four five six seven", "en") for i in range(180)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert entry.queries()["block_exact_name"](spark, str(tmp_path)).count() == 60 * 120
+    assert entry.queries()["oversized_blocks"](spark, str(tmp_path)).count() == 0
+    assert entry.queries()["block_topk"](spark, str(tmp_path)).count() == 60 * 20
