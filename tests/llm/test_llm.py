@@ -323,3 +323,18 @@ def test_held_out_rule(spark):
 
     got = spark.range(50).select("id", common.held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
+
+
+@pytest.mark.parametrize("part, length", [(40, 51), (45, 51), (49, 60)])
+def test_passages_beside_a_shorter_earlier_copy(spark, part, length):
+    rnd = np.random.default_rng(part)
+    words = lambda n: [f"w{x}" for x in rnd.integers(0, 10**9, n)]
+    rows = []
+    for k in range(60):
+        passage = words(length)
+        rows += [(3 * k + 1, words(20) + passage[:part] + words(30)), (3 * k + 2, words(25) + passage + words(15)), (3 * k + 3, words(10) + passage + words(35))]
+    runs = [{tuple(w[i : i + 50]) for i in range(len(w) - 49)} for _, w in rows]
+    want = {(rows[j][0], rows[i][0]) for j in range(len(rows)) for i in range(j) if runs[i] & runs[j]}
+    got = substring.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()
+    assert len(want) == 60 and {(r.doc_id, r.earlier_id) for r in got} == want
+    assert all(r.end_word - r.start_word >= 50 for r in got)
