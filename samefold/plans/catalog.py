@@ -297,7 +297,7 @@ query("score_spread", H + PROB + "SELECT count(*) AS n, round(avg(probability),
 
 
 # --- rows only -------------------------------------------------------------------------
-R["features_fuzzy"] = lambda s, d: features.fuzzy(_pairs(s, d), 10)
+R["features_fuzzy"] = lambda s, d: features.fuzzy(_pairs(s, d))
 
 
 @query("train_predict_gbt")

@@ -37,3 +37,10 @@ def test_blocks_over_50_rows_are_kept(spark, tmp_path):
     assert entry.queries()["block_exact_name"](spark, str(tmp_path)).count() == 60 * 120
     assert entry.queries()["oversized_blocks"](spark, str(tmp_path)).count() == 0
     assert entry.queries()["block_topk"](spark, str(tmp_path)).count() == 60 * 20
+
+
+def test_fuzzy_features_keep_20_candidates(spark, tmp_path):
+    docs = [(i, "one two three four five six seven", "en") for i in range(180)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = entry.queries()["features_fuzzy"](spark, str(tmp_path)).groupBy("sid").count().collect()
+    assert [r["count"] for r in got] == [20] * 60
