@@ -304,7 +304,7 @@ R["features_fuzzy"] = lambda s, d: features.fuzzy(_pairs(s, d))
 def train_predict_gbt(s, d):
     """Train on 80 % of the S1 records, score the others."""
     pairs = matching.group_split(matching.labelled(features.proxy(_pairs(s, d)), fixtures.truth(s, d)))
-    model = matching.train(pairs.where("in_train"), trees=10, depth=3)
+    model = matching.train(pairs.where("in_train"))
     return matching.predict(model, pairs.where("NOT in_train")).select("sid", "cid", "label", "probability")
 
 

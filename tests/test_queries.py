@@ -1,6 +1,7 @@
 import __spark_entry__ as entry
 import duckdb
 import pytest
+from samefold.operators import matching
 
 SF = "/root/testdata/sf0.001"
 NAMES = [n for n in entry.queries() if not n.startswith("op") and n != "pipeline"]
@@ -44,3 +45,11 @@ def test_fuzzy_features_keep_20_candidates(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     got = entry.queries()["features_fuzzy"](spark, str(tmp_path)).groupBy("sid").count().collect()
     assert [r["count"] for r in got] == [20] * 60
+
+
+def test_gbt_is_trained_at_full_size(spark, monkeypatch):
+    asked, train = [], matching.train
+    monkeypatch.setattr(matching, "train", lambda pairs, **options: asked.append(options) or train(pairs, trees=2, depth=2))
+    got = entry.queries()["train_predict_gbt"](spark, SF).collect()
+    assert asked == [{}] and train.__defaults__[:2] == (300, 6)
+    assert got and all(0 <= r.probability <= 1 for r in got)
