@@ -206,8 +206,8 @@ def _rounded(df):
     return df.select("sid", "cid", *[F.round(F.col(c).cast("double"), 6).alias(c) if c in _REAL else F.col(c).cast("long").alias(c) for c in features.FEATURES])
 
 
-def _pairs(s, d):
-    return features.with_records(_cand(s, d), *_pair(s, d))
+def _pairs(s, d, rules=CORE):
+    return features.with_records(_cand(s, d, rules), *_pair(s, d))
 
 
 query("features_proxy", H + f", {FEAT} SELECT sid, cid, {_SEL} FROM feat")(lambda s, d: _rounded(features.proxy(_pairs(s, d))))
@@ -297,13 +297,13 @@ query("score_spread", H + PROB + "SELECT count(*) AS n, round(avg(probability),
 
 
 # --- rows only -------------------------------------------------------------------------
-R["features_fuzzy"] = lambda s, d: features.fuzzy(_pairs(s, d))
+R["features_fuzzy"] = lambda s, d: features.fuzzy(_pairs(s, d, blocking.V8))
 
 
 @query("train_predict_gbt")
 def train_predict_gbt(s, d):
     """Train on 80 % of the S1 records, score the others."""
-    pairs = matching.group_split(matching.labelled(features.proxy(_pairs(s, d)), fixtures.truth(s, d)))
+    pairs = matching.group_split(matching.labelled(features.proxy(_pairs(s, d, blocking.V8)), fixtures.truth(s, d)))
     model = matching.train(pairs.where("in_train"))
     return matching.predict(model, pairs.where("NOT in_train")).select("sid", "cid", "label", "probability")
 

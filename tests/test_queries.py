@@ -53,3 +53,10 @@ def test_gbt_is_trained_at_full_size(spark, monkeypatch):
     got = entry.queries()["train_predict_gbt"](spark, SF).collect()
     assert asked == [{}] and train.__defaults__[:2] == (300, 6)
     assert got and all(0 <= r.probability <= 1 for r in got)
+
+
+def test_character_grams_bring_misspelt_names_together(spark, tmp_path):
+    docs = [(0, "akmehardwareshops", "en"), (1, "acmehardwareshop", "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = entry.queries()["features_fuzzy"](spark, str(tmp_path)).collect()
+    assert [(r.sid, r.cid) for r in got] == [("S1-0", "S2-1")]
