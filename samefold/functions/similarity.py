@@ -1,12 +1,14 @@
 """Fuzzy string scores on a 0-100 scale, by a bit-parallel subsequence length.
 
 ``ratio`` is the normalised insert/delete similarity 200*LCS/(|a|+|b|); the
-others take the best or a reordered form of it.  They run as pandas UDFs, after
-candidates have been cut to the best few.
+others take the best or a reordered form of it.  They run as one pandas UDF, over the
+distinct pairs of a batch.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,15 +35,36 @@ def ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """Best ratio of the shorter text against windows of the longer."""
+    """Best ratio of the shorter text against windows of the longer.
+
+    A window shares no longer subsequence than it shares characters, so windows
+    are tried by falling bound, until no bound is above the best score.
+    """
     s, t = sorted((a, b), key=len)
     if not s:
         return 100.0 if not t else 0.0
     if s in t:
         return 100.0
     n = len(s)
-    windows = {t[max(0, i) : i + n] for i in range(1 - n, len(t))}
-    return max(ratio(s, w) for w in windows)
+    left = Counter(s)
+    bounds, shared = [], 0
+    for i in range(1 - n, len(t)):  # the window t[i : i + n], clipped to the text
+        if i + n <= len(t):
+            ch = t[i + n - 1]
+            shared += left[ch] > 0
+            left[ch] -= 1
+        if i > 0:
+            ch = t[i - 1]
+            left[ch] += 1
+            shared -= left[ch] > 0
+        lo, hi = max(0, i), min(len(t), i + n)
+        bounds.append((200.0 * shared / (n + hi - lo), lo, hi))
+    best = 0.0
+    for bound, lo, hi in sorted(bounds, reverse=True):
+        if bound <= best:
+            break
+        best = max(best, ratio(s, t[lo:hi]))
+    return best
 
 
 def token_sort_ratio(a: str, b: str) -> float:
@@ -65,11 +88,26 @@ def token_set_ratio(a: str, b: str) -> float:
 SCORES = {f.__name__: f for f in (ratio, partial_ratio, token_sort_ratio, token_set_ratio)}
 
 
-def score(name: str, a: Column, b: Column) -> Column:
-    f = SCORES[name]
-
-    @F.pandas_udf("double")
-    def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([f(p, q) for p, q in zip(x.fillna(""), y.fillna(""))], dtype=float)
-
-    return run(a, b)
+def scores(wanted: dict[str, tuple[str, Column, Column]]) -> Column:
+    """A struct of named scores, all from one Arrow pass; equal pairs are scored once a batch."""
+    cols: list[Column] = []
+    at: dict[str, int] = {}
+    plan = []
+    for name, (kind, *pair) in wanted.items():
+        for c in pair:
+            if str(c) not in at:
+                at[str(c)] = len(cols)
+                cols.append(c)
+        plan.append((name, SCORES[kind], *(at[str(c)] for c in pair)))
+
+    @F.pandas_udf(", ".join(f"{n} double" for n in wanted))
+    def run(*series: pd.Series) -> pd.DataFrame:
+        texts = [s.fillna("").tolist() for s in series]
+        out = {}
+        for name, f, i, j in plan:
+            pairs = list(zip(texts[i], texts[j]))
+            known = {p: f(*p) for p in set(pairs)}
+            out[name] = [known[p] for p in pairs]
+        return pd.DataFrame(out, dtype=float)
+
+    return run(*cols)

@@ -114,9 +114,10 @@ def first_number(c: Column, bounded=True) -> Column:
     return F.regexp_extract(c, r"\b([0-9]{1,6})\b", 1) if bounded else F.regexp_extract(c, r"([0-9]+)", 1)
 
 
-def numbers(c: Column) -> Column:
-    """Distinct digit runs."""
-    return F.array_distinct(F.regexp_extract_all(c, F.lit(r"(\p{Nd}+)"), F.lit(1)))
+def numbers(c: Column, most: int | None = None) -> Column:
+    """Distinct digit runs, cut into parts of ``most`` digits where given."""
+    run = rf"(\p{{Nd}}{{1,{most}}})" if most else r"(\p{Nd}+)"
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(run), F.lit(1)))
 
 
 def char_grams(c: Column, n=3) -> Column:

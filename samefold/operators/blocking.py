@@ -149,23 +149,35 @@ def contains_number(s1: DataFrame, source: DataFrame, with_token=True) -> DataFr
 
 
 def tokens_any(s1: DataFrame, source: DataFrame) -> DataFrame:
-    """Pairs whose source name holds S1's first two tokens anywhere."""
+    """Pairs whose source name holds S1's first two tokens anywhere.
+
+    Source names yield their tokens and pairs of tokens as keys, so both tokens
+    join at once and a common single token is no key of its own.
+    """
     a = s1.withColumn("tokens", text.tokens(F.col("name"))).where(F.size("tokens") >= 2)
-    a = a.select(F.col("entity_id").alias("sid"), "country", F.explode(F.array_distinct(F.slice("tokens", 1, 2))).alias("token"), F.size(F.array_distinct(F.slice("tokens", 1, 2))).alias("need"))
-    b = source.select(F.col("entity_id").alias("cid"), "country", F.explode(F.array_distinct(text.tokens(F.col("name")))).alias("token"))
-    return a.join(b, ["token", "country"]).groupBy("sid", "cid", "need").agg(F.count("*").alias("n")).where("n = need").select("sid", "cid")
+    a = a.select(F.col("entity_id").alias("sid"), "country", F.concat_ws("\u0001", F.array_sort(F.array_distinct(F.slice("tokens", 1, 2)))).alias("key"))
+    t = F.array_sort(F.array_distinct(text.tokens(F.col("name"))))
+    couples = F.flatten(F.transform(t, lambda x: F.transform(F.filter(t, lambda y: x < y), lambda y: F.concat_ws("\u0001", x, y))))
+    b = source.select(F.col("entity_id").alias("cid"), "country", F.explode(F.concat(t, couples)).alias("key"))
+    twice = a.where(F.instr("key", "\u0001") == 0).select("key").distinct()  # names that repeat their first token
+    b = b.where(F.instr("key", "\u0001") > 0).unionByName(b.where(F.instr("key", "\u0001") == 0).join(twice, "key", "left_semi").select(*b.columns))
+    return a.join(b, ["key", "country"]).select("sid", "cid")
 
 
 def prefix_residuals(s1: DataFrame, source: DataFrame) -> DataFrame:
     """Pairs of one prefix-3 block with half of the shorter name's tokens shared
-    (B20), and with an equal number and a shared token (B21)."""
+    (B20), and with an equal number and a shared token (B21).
+
+    Both need a shared token, so the token is part of the join key.
+    """
     def side(df, x):
-        return df.select(F.col("entity_id").alias(f"id{x}"), text.prefix(F.col("name"), 3).alias("p"), "country", F.array_distinct(text.tokens(F.col("name"))).alias(f"t{x}"), text.first_number(F.col("address")).alias(f"n{x}"))
+        t = F.array_distinct(text.tokens(F.col("name")))
+        df = df.select(F.col("entity_id").alias(f"id{x}"), text.prefix(F.col("name"), 3).alias("p"), "country", F.size(t).alias(f"t{x}"), text.first_number(F.col("address")).alias(f"n{x}"), F.explode(t).alias("token"))
+        return df.where("p <> ''")
 
-    j = side(s1, 1).where("p <> ''").join(side(source, 2), ["p", "country"])
-    shared = F.size(F.array_intersect("t1", "t2"))
-    shorter = F.least(F.size("t1"), F.size("t2"))
-    return j.select(F.col("id1").alias("sid"), F.col("id2").alias("cid"), ((shorter > 0) & (shared >= shorter * 0.5)).alias("half_tokens"), ((F.col("n1") != "") & (F.col("n1") == F.col("n2")) & (shared > 0)).alias("number_and_token")).where("half_tokens OR number_and_token")
+    j = side(s1, 1).join(side(source, 2), ["p", "country", "token"]).groupBy("id1", "id2", "t1", "t2", "n1", "n2").agg(F.count("*").alias("shared"))
+    half = F.col("shared") >= F.least("t1", "t2") * 0.5
+    return j.select(F.col("id1").alias("sid"), F.col("id2").alias("cid"), half.alias("half_tokens"), ((F.col("n1") != "") & (F.col("n1") == F.col("n2"))).alias("number_and_token")).where("half_tokens OR number_and_token")
 
 
 def additional(found: DataFrame, existing: DataFrame) -> DataFrame:
@@ -183,14 +195,24 @@ def without_candidates(s1: DataFrame, pairs: DataFrame) -> DataFrame:
     return s1.select(F.col("entity_id").alias("sid")).join(pairs.select("sid").distinct(), "sid", "left_anti")
 
 
-def config_matrix(found: DataFrame, truth: DataFrame, configs: dict[str, list[str]], ks: list[int]) -> DataFrame:
-    """Recall of every rule set and cut-off from one table of hits."""
+def config_matrix(found: DataFrame, truth: DataFrame, s1: DataFrame, configs: dict[str, list[str]], ks: list[int]) -> DataFrame:
+    """Recall and list sizes of every rule set and cut-off from one table of hits.
+
+    Rates are over true pairs and over S1 records with truth, sizes over all S1 records.
+    """
     spark = found.sparkSession
     sets = spark.createDataFrame([(c, r) for c, rs in configs.items() for r in rs], "config string, rule string")
-    cuts = spark.createDataFrame([(k,) for k in ks], "top_k int")
     pairs = found.join(F.broadcast(sets), "rule").groupBy("config", "sid", "cid").agg(F.sum(weight()).alias("s"))
     w = W.partitionBy("config", "sid").orderBy(F.desc("s"), "cid")
     ranked = pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= max(ks))
-    got = truth.join(ranked, ["sid", "cid"]).join(F.broadcast(cuts), F.col("r") <= F.col("top_k")).groupBy("config", "top_k").agg(F.count("*").alias("recovered"), F.countDistinct("sid").alias("entities"))
-    every = sets.select("config").distinct().join(F.broadcast(cuts), F.lit(True))  # two parameter lists
-    return every.join(got, ["config", "top_k"], "left").fillna(0, ["recovered", "entities"])
+    true = truth.select("sid", "cid").distinct()
+    hit = ranked.join(true.withColumn("t", F.lit(1)), ["sid", "cid"], "left")
+    cuts = F.array(*[F.struct(F.lit(k).alias("top_k"), F.sum((F.col("r") <= k).cast("int")).alias("n"), F.sum(F.when(F.col("r") <= k, F.col("t"))).alias("hits")) for k in ks])
+    each = hit.groupBy("config", "sid").agg(cuts.alias("cuts")).select("config", "sid", F.explode("cuts").alias("x")).select("config", "sid", "x.*")
+    each = each.join(true.groupBy("sid").agg(F.count("*").alias("n_true")), "sid", "left")
+    got = each.groupBy("config", "top_k").agg(F.sum("hits").alias("hits"), F.sum((F.col("hits") > 0).cast("int")).alias("some"), F.sum((F.col("hits") == F.col("n_true")).cast("int")).alias("whole"), F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("reached"))
+    every = spark.createDataFrame([(c, k) for c in configs for k in ks], "config string, top_k int")
+    totals = true.agg(F.count("*").alias("pairs"), F.countDistinct("sid").alias("entities")).join(s1.agg(F.count("*").alias("records")), F.lit(True))  # one row
+    out = F.broadcast(every).join(got, ["config", "top_k"], "left").fillna(0).join(F.broadcast(totals), F.lit(True))
+    share = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.greatest(b, F.lit(1))).otherwise(0.0)
+    return out.select("config", "top_k", share("hits", "pairs").alias("pair_recall"), share("some", "entities").alias("entity_recall"), share("whole", "entities").alias("all_match_rate"), share("n", "records").alias("avg_candidates"), F.col("most").cast("long").alias("max_candidates"), (F.col("records") - F.col("reached")).alias("zero_candidates"))

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from samefold.functions import text
 from samefold.operators.matching import f_beta
+from samefold.sources.staging import staged
 
 
 def per_entity(truth: DataFrame, found: DataFrame) -> DataFrame:
@@ -31,9 +32,14 @@ def blocking_recall(truth: DataFrame, found: DataFrame) -> DataFrame:
                  F.avg("n_found").alias("avg_candidates"), F.max("n_found").cast("long").alias("max_candidates"))
 
 
-def pair_metrics(truth: DataFrame, found: DataFrame) -> DataFrame:
-    """Micro scores, entity scores and exact-match rate."""
+def pair_metrics(truth: DataFrame, found: DataFrame, s1: DataFrame | None = None) -> DataFrame:
+    """Micro scores, entity scores and exact-match rate.
+
+    With ``s1`` the exact-match rate is over all its records, a right empty answer included.
+    """
     e = per_entity(truth, found)
+    if s1 is not None:
+        e = s1.select(F.col("entity_id").alias("sid")).join(e, "sid", "full_outer").fillna(0)
     tp, fp, fn = F.sum("n_hit"), F.sum(F.col("n_found") - F.col("n_hit")), F.sum(F.col("n_true") - F.col("n_hit"))
     any_hit = F.sum((F.col("n_hit") > 0).cast("int"))
     any_fp = F.sum((F.col("n_found") > F.col("n_hit")).cast("int"))
@@ -112,7 +118,11 @@ def best_second(scored: DataFrame) -> DataFrame:
 
 
 def validate(s1: DataFrame, matches: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(check, violations) of a result with ``matched_entity_ids`` (VC1-VC15)."""
+    """(check, violations) of a result with ``matched_entity_ids`` (VC1-VC15).
+
+    Both tables are read by several checks and staged first.
+    """
+    matches, candidates = staged(matches, "matches"), staged(candidates.select("sid", "cid"), "candidates")
     ids = s1.select(F.col("entity_id").alias("sid"))
     m = matches.select("sid", F.explode(F.filter(F.split("matched_entity_ids", ","), lambda x: x != "")).alias("cid"))
     c = candidates.select("sid", "cid")
@@ -135,14 +145,15 @@ def diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def audit(df: DataFrame) -> DataFrame:
-    """(column, rows, empty, distinct_values, duplicates) of every column."""
+    """(column, rows, empty, empty_pct, distinct_values, duplicates) of every column."""
     parts = []
     for c in df.columns:
         v = F.coalesce(F.col(c).cast("string"), F.lit(""))
         parts += [F.sum((F.trim(v) == "").cast("int")).alias(f"e_{c}"), F.countDistinct(v).alias(f"d_{c}")]
     row = df.agg(F.count("*").alias("rows"), *parts)
     cols = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(f"e_{c}"), F.lit(0)).cast("long").alias("empty"), F.col(f"d_{c}").alias("distinct_values")) for c in df.columns])
-    return row.select("rows", F.explode(cols).alias("x")).select("x.column", "rows", "x.empty", "x.distinct_values", (F.col("rows") - F.col("x.distinct_values")).alias("duplicates"))
+    pct = F.when(F.col("rows") > 0, F.col("x.empty") * 100.0 / F.greatest("rows", F.lit(1))).otherwise(0.0)
+    return row.select("rows", F.explode(cols).alias("x")).select("x.column", "rows", "x.empty", F.round(pct, 6).alias("empty_pct"), "x.distinct_values", (F.col("rows") - F.col("x.distinct_values")).alias("duplicates"))
 
 
 def match_histogram(s1: DataFrame, truth: DataFrame) -> DataFrame:
@@ -152,6 +163,79 @@ def match_histogram(s1: DataFrame, truth: DataFrame) -> DataFrame:
     return each.groupBy("matches").agg(F.count("*").alias("entities"))
 
 
+def recall_averages(s1: DataFrame, truth: DataFrame, found: DataFrame) -> DataFrame:
+    """True pairs per S1 record with truth, recovered and found ones per S1 record."""
+    e = s1.select(F.col("entity_id").alias("sid")).join(per_entity(truth, found), "sid", "left").fillna(0)
+    return e.agg((F.sum("n_true") / F.greatest(F.sum((F.col("n_true") > 0).cast("int")), F.lit(1))).alias("avg_truth"), F.avg("n_hit").alias("avg_recovered"), F.avg("n_found").alias("avg_candidates"),
+                 F.max("n_found").cast("long").alias("max_candidates"), F.sum((F.col("n_found") == 0).cast("long")).alias("zero_candidates"), F.sum("n_found").cast("long").alias("total_candidates"))
+
+
+def compared(truth: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """(metric, baseline, other, delta) of two candidate tables."""
+    def long(df, name):
+        cols = [c for c in df.columns]
+        return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias(name)) for c in cols])).alias("x")).select("x.*")
+
+    a, b = long(blocking_recall(truth, old), "baseline"), long(blocking_recall(truth, new), "other")
+    return a.join(b, "metric").withColumn("delta", F.col("other") - F.col("baseline"))
+
+
+def stage_recall(truth: DataFrame, rows: DataFrame) -> DataFrame:
+    """What of the truth reached a stage that holds pairs, such as features."""
+    t = truth.select("sid", "cid").distinct()
+    hit = t.join(rows.select("sid", "cid").distinct().withColumn("p", F.lit(1)), ["sid", "cid"], "left").groupBy("sid").agg(F.count("*").alias("n_true"), F.count("p").alias("n_hit"))
+    n = F.greatest(F.count("*"), F.lit(1))
+    some, whole = F.col("n_hit") > 0, F.col("n_hit") >= F.col("n_true")
+    got = hit.agg(F.coalesce(F.sum("n_true"), F.lit(0)).alias("truth_pairs"), F.coalesce(F.sum("n_hit"), F.lit(0)).alias("recovered_pairs"), (F.sum("n_hit") / F.greatest(F.sum("n_true"), F.lit(1))).alias("pair_recall"),
+                  (F.sum(some.cast("int")) / n).alias("entity_recall"), (F.sum(whole.cast("int")) / n).alias("all_match_rate"), F.coalesce(F.sum((some & ~whole).cast("long")), F.lit(0)).alias("partial"))
+    return rows.agg(F.count("*").alias("stage_rows")).join(got, F.lit(True))
+
+
+def probability_by_truth(scored: DataFrame) -> DataFrame:
+    """Spread of the probability of true and of other pairs."""
+    c = F.col("probability")
+    return scored.groupBy("label").agg(F.count(c).alias("n"), F.min(c).alias("least"), *[F.percentile(c, q / 100).alias(f"p{q}") for q in (25, 50, 75)], F.max(c).alias("greatest"), F.avg(c).alias("mean"))
+
+
+def missed_sample(truth: DataFrame, hits: DataFrame, n=20) -> DataFrame:
+    """The first ``n`` true pairs that no rule reaches."""
+    return truth.select("sid", "cid").distinct().join(hits.select("sid", "cid"), ["sid", "cid"], "left_anti").orderBy("sid", "cid").limit(n)
+
+
+def column_diff(df: DataFrame, expected: list[str]) -> DataFrame:
+    """(column, state): missing, unexpected or present, and in its place or not (F13, VC1)."""
+    rows = [(c, "missing", False) for c in expected if c not in df.columns]
+    rows += [(c, "present" if c in expected else "unexpected", c in expected and df.columns.index(c) == expected.index(c)) for c in df.columns]
+    return df.sparkSession.createDataFrame(rows, "column string, state string, in_place boolean")
+
+
+def result_summary(s1: DataFrame, matches: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Counts of a result and of its candidate lists (VC9, VC10, VC11)."""
+    ids = F.filter(F.split("matched_entity_ids", ","), lambda x: x != "")
+    kind = lambda p: F.size(F.filter(ids, lambda x: x.rlike(p)))
+    m = matches.select(kind(r"^S2-\d+$").alias("s2"), kind(r"^S3-\d+$").alias("s3"), F.size(ids).alias("n"))
+    m = m.agg(F.count("*").alias("rows"), F.sum("s2").alias("s2_ids"), F.sum("s3").alias("s3_ids"), F.sum(F.col("n") - F.col("s2") - F.col("s3")).alias("malformed_ids"), F.sum((F.col("n") > 0).cast("long")).alias("matched_s1"), (F.avg((F.col("n") > 0).cast("double")) * 100).alias("match_coverage"))
+    n = s1.select(F.col("entity_id").alias("sid")).join(candidates.groupBy("sid").agg(F.count("*").alias("n")), "sid", "left").fillna(0)
+    n = n.agg(F.min("n").alias("min_candidates"), F.avg("n").alias("avg_candidates"), F.max("n").alias("max_candidates"), F.sum((F.col("n") == 0).cast("long")).alias("zero_candidates"))
+    return m.join(n, F.lit(True))  # one row each
+
+
+def lookup_completeness(wanted: DataFrame, source: DataFrame) -> DataFrame:
+    """(requested, found, missing) ids of a lookup (VC14, J4)."""
+    asked = wanted.select(F.col("cid").alias("entity_id")).distinct()
+    got = asked.join(source.select("entity_id", F.lit(1).alias("p")).distinct(), "entity_id", "left")
+    return got.agg(F.count("*").alias("requested"), F.count("p").alias("found"), (F.count("*") - F.count("p")).alias("missing"))
+
+
+def alignment(s1: DataFrame, other: DataFrame) -> DataFrame:
+    """How two tables agree on their S1 ids: repeats, and ids of one side only (VC15, J14)."""
+    a = s1.select(F.col("entity_id").alias("sid")).groupBy("sid").agg(F.count("*").alias("a"))
+    b = other.groupBy("sid").agg(F.count("*").alias("b"))
+    g = a.join(b, "sid", "full_outer")
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0).cast("long"))
+    return g.agg(n(F.col("a").isNotNull() & F.col("b").isNotNull()).alias("common"), n(F.col("b").isNull()).alias("only_left"), n(F.col("a").isNull()).alias("only_right"), n((F.col("a") > 1) | (F.col("b") > 1)).alias("repeated"))
+
+
 def spread(df: DataFrame, value: str) -> DataFrame:
     """Count, mean, deviation, extremes and exact percentiles."""
     c = F.col(value)

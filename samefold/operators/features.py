@@ -32,44 +32,51 @@ def _length_ratio(a: Column, b: Column) -> Column:
     return F.when((a == b) & (a != ""), 100.0).when((a == "") | (b == ""), 0.0).otherwise(F.least(la, lb) * 100.0 / F.greatest(la, lb))
 
 
-def _sets(a: Column, b: Column):
-    x, y = F.array_distinct(text.words(a)), F.array_distinct(text.words(b))
-    both = F.size(F.array_intersect(x, y))
-    return x, y, both
+def _list(c: Column) -> Column:
+    """Tokens of the expression mode: an untrimmed split, where an empty text is one empty token."""
+    return F.split(F.regexp_replace(c, r"\s+", " "), " ")
+
+
+def _both(x: Column, y: Column) -> Column:
+    return F.size(F.array_intersect(x, y))
 
 
 def _jaccard(a: Column, b: Column) -> Column:
-    x, y, both = _sets(a, b)
-    union = F.size(x) + F.size(y) - both
-    return F.when((a == b) & (a != ""), 100.0).when(union == 0, 0.0).otherwise(both * 100.0 / F.greatest(union, F.lit(1)))
+    x, y = _list(a), _list(b)
+    return F.when(a == b, 100.0).otherwise(_both(x, y) * 100.0 / F.size(F.array_union(x, y)))
 
 
-def _overlap(a: Column, b: Column, empty: float) -> Column:
-    x, y, both = _sets(a, b)
-    small = F.least(F.size(x), F.size(y))
-    return F.when((a == "") & (b == ""), empty).when((a == b) & (a != ""), 100.0).when(small == 0, 0.0).otherwise(both * 100.0 / F.greatest(small, F.lit(1)))
+def _overlap(a: Column, b: Column) -> Column:
+    x, y = _list(a), _list(b)
+    return F.when(a == b, 100.0).otherwise(_both(x, y) * 100.0 / F.least(F.size(x), F.size(y)))
 
 
-def _shared(df: DataFrame) -> DataFrame:
+def _plain(df: DataFrame) -> DataFrame:
+    """The features that both modes share."""
     n1, n2, a1, a2 = (F.col(c) for c in ("n1", "n2", "a1", "a2"))
-    x, _, both = _sets(n1, n2)
     return df.withColumns({
         "name_exact": _same(n1, n2), "address_exact": _same(a1, a2), "country_match": _same(F.col("c1"), F.col("c2")),
         "name_length_diff": F.abs(F.length(n1) - F.length(n2)), "address_length_diff": F.abs(F.length(a1) - F.length(a2)),
-        "shared_token_count": F.least(F.lit(127), both), "shared_token_ratio": F.when(F.size(x) > 0, both / F.greatest(F.size(x), F.lit(1))).otherwise(0.0),
     })
 
 
 def proxy(pairs: DataFrame) -> DataFrame:
-    """Mode D: expressions only; the score falls with the block rank."""
+    """Mode D: expressions only; the score falls with the block rank.
+
+    Token lists keep repeats in the denominators, and an empty text is one empty
+    token: two empty texts agree, and an empty query name is part of any name.
+    """
     n1, n2, a1, a2 = (F.col(c) for c in ("n1", "n2", "a1", "a2"))
     first = F.split_part(n1, F.lit(" "), F.lit(1))
     d1, d2 = text.first_number(a1, bounded=False), text.first_number(a2, bounded=False)
-    out = _shared(pairs).withColumns({
+    x = _list(n1)
+    both = _both(x, _list(n2))
+    out = _plain(pairs).withColumns({
         "name_ratio": _length_ratio(n1, n2), "address_ratio": _length_ratio(a1, a2),
-        "name_partial_ratio": F.when((n1 == n2) & (n1 != ""), 100.0).when((first != "") & (F.instr(n2, first) > 0), 80.0).otherwise(0.0),
-        "name_token_sort_ratio": _jaccard(n1, n2), "name_token_set_ratio": _overlap(n1, n2, 0.0),
-        "address_partial_ratio": _overlap(a1, a2, 0.0), "address_token_set_ratio": _overlap(a1, a2, 100.0),
+        "name_partial_ratio": F.when((n1 == n2) & (n1 != ""), 100.0).when(F.instr(n2, first) > 0, 80.0).otherwise(0.0),
+        "name_token_sort_ratio": _jaccard(n1, n2), "name_token_set_ratio": _overlap(n1, n2),
+        "address_partial_ratio": _overlap(a1, a2), "address_token_set_ratio": _overlap(a1, a2),
+        "shared_token_count": F.least(F.lit(127), both), "shared_token_ratio": both / F.size(x),
         "address_number_match": _same(d1, d2), "address_number_count": _same(d1, d2),
         "candidate_score": (100 - F.col("block_rank")).cast("double"), "candidate_rank": F.col("block_rank"),
     })
@@ -95,12 +102,14 @@ def reranked(df: DataFrame, k: int) -> DataFrame:
 
 def fuzzy(pairs: DataFrame, k=20) -> DataFrame:
     """Mode R: base scores for all candidates, the costly ones for the best ``k``."""
-    s = similarity.score
     n1, n2, a1, a2 = (F.col(c) for c in ("n1", "n2", "a1", "a2"))
-    both = F.size(F.array_intersect(text.numbers(a1), text.numbers(a2)))
-    base = _shared(pairs).withColumns({
-        "name_ratio": s("ratio", n1, n2), "name_partial_ratio": s("partial_ratio", n1, n2), "name_token_set_ratio": s("token_set_ratio", n1, n2),
-        "address_ratio": s("ratio", a1, a2), "address_token_set_ratio": s("token_set_ratio", a1, a2), "address_number_count": both, "address_number_match": (both > 0).cast("int"),
+    both = _both(text.numbers(a1), text.numbers(a2))
+    x = F.array_distinct(text.words(n1))
+    shared = _both(x, text.words(n2))
+    base = _plain(pairs).withColumn("_s", similarity.scores({"name_ratio": ("ratio", n1, n2), "name_partial_ratio": ("partial_ratio", n1, n2), "name_token_set_ratio": ("token_set_ratio", n1, n2), "address_ratio": ("ratio", a1, a2), "address_token_set_ratio": ("token_set_ratio", a1, a2)}))
+    base = base.select("*", "_s.*").drop("_s").withColumns({
+        "shared_token_count": shared, "shared_token_ratio": F.when(F.size(x) > 0, shared / F.greatest(F.size(x), F.lit(1))).otherwise(0.0),
+        "address_number_count": both, "address_number_match": (both > 0).cast("int"),
     })
-    best = reranked(base, k)
-    return best.withColumn("name_token_sort_ratio", s("token_sort_ratio", n1, n2)).withColumn("address_partial_ratio", s("partial_ratio", a1, a2)).select("sid", "cid", *FEATURES)
+    best = reranked(base, k).withColumn("_s", similarity.scores({"name_token_sort_ratio": ("token_sort_ratio", n1, n2), "address_partial_ratio": ("partial_ratio", a1, a2)}))
+    return best.select("*", "_s.*").select("sid", "cid", *FEATURES)

@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from samefold.functions import text
 from samefold.operators import blocking, evaluation, features, matching
-from samefold.sources import fixtures, tables
+from samefold.sources import fixtures, staging, tables
 from samefold.sources.fixtures import ENTITIES_SQL, NORM, NUMBERED_SQL
+from samefold.streaming.incremental import match_stream
 
 R: dict = {}
 SQL: dict[str, str] = {}
 TOP = 20
+#: An earlier, smaller rule set, the baseline of comparisons.
 CORE = ("exact_name", "token12", "prefix5", "suffix4", "last_token", "name_token_overlap", "address_token_overlap")
+ALL = blocking.V8
 
 
 def query(name: str, sql: str | None = None):
@@ -39,6 +42,10 @@ def _pair(spark, d, kind="entities"):
 # --- scalar functions -------------------------------------------------------------
 query("normalize_text", f"SELECT doc_id, md5({NORM.format('text')}) AS h, length({NORM.format('text')}) AS n FROM documents")(
     lambda s, d: _docs(s, d).select("doc_id", text.normalize_text(F.col("text")).alias("t")).select("doc_id", F.md5("t").alias("h"), F.length("t").cast("long").alias("n")))
+_NOURL = NORM.replace("lower(coalesce({}, ''))", r"regexp_replace(lower(coalesce({}, '')), 'https?://\S+|www\.\S+', ' ', 'g')")
+_LINKED = "'See https://x.org/' || doc_id || '?q=1 or www.y.net, ' || coalesce(text, '')"
+query("normalize_urls", f"SELECT doc_id, md5({_NOURL.format('(' + _LINKED + ')')}) AS h, length({_NOURL.format('(' + _LINKED + ')')}) AS n FROM documents")(
+    lambda s, d: _docs(s, d).select("doc_id", text.normalize_text(F.expr(_LINKED), urls=True).alias("t")).select("doc_id", F.md5("t").alias("h"), F.length("t").cast("long").alias("n")))
 TOK = "list_filter(string_split({0}, ' '), lambda x: length(x) >= {1})"
 NAME = TOK.format("name", 2)
 query("tokens_positional", f"WITH {ENTITIES_SQL} SELECT entity_id, coalesce({NAME}[1], '') AS t1, coalesce({NAME}[2], '') AS t2, coalesce({NAME}[3], '') AS t3, coalesce({NAME}[-1], '') AS t_last FROM entities")(
@@ -62,6 +69,8 @@ query("first_number", f"WITH {NUMBERED_SQL} SELECT entity_id, {NUM} AS number FR
 NUMS = r"list_distinct(regexp_extract_all(address, '(\p{Nd}+)', 1))"
 query("number_set", f"WITH {NUMBERED_SQL} SELECT entity_id, array_to_string(list_sort({NUMS}), ',') AS numbers FROM entities")(
     lambda s, d: fixtures.numbered(s, d).select("entity_id", F.array_join(F.array_sort(text.numbers(F.col("address"))), ",").alias("numbers")))
+query("number_parts", f"WITH {NUMBERED_SQL} SELECT entity_id, array_to_string(list_sort(list_distinct(regexp_extract_all('1234567890 ' || address, '(\\p{{Nd}}{{1,8}})', 1))), ',') AS numbers FROM entities")(
+    lambda s, d: fixtures.numbered(s, d).select("entity_id", F.array_join(F.array_sort(text.numbers(F.concat(F.lit("1234567890 "), "address"), 8)), ",").alias("numbers")))
 GRAMS = f"CASE WHEN length({CMP}) >= 3 THEN list_distinct(list_transform(range(1, length({CMP}) - 1), lambda i: substr({CMP}, i, 3))) ELSE [] END"
 query("char_3grams", f"WITH {ENTITIES_SQL} SELECT entity_id, array_to_string(list_sort({GRAMS}), ',') AS grams FROM entities")(
     lambda s, d: fixtures.entities(s, d).select("entity_id", F.array_join(F.array_sort(text.char_grams(F.col("name"))), ",").alias("grams")))
@@ -72,7 +81,7 @@ query("country_canonical", f"WITH c AS (SELECT n_nationkey, trim(regexp_replace(
 R["normalize_nfkc"] = lambda s, d: _docs(s, d).select("doc_id", F.md5(text.normalize_name(F.col("text"))).alias("h"), F.length(text.nfkc(F.col("text"))).alias("n"), text.normalize_country(F.col("lang"), fold=True).alias("country"))
 
 # --- audits -----------------------------------------------------------------------
-query("audit_sources", f"WITH {ENTITIES_SQL}, c AS (UNPIVOT (SELECT entity_id, name, address, country FROM entities) ON entity_id, name, address, country INTO NAME \"column\" VALUE v) SELECT \"column\", count(*) AS rows, count(*) FILTER (trim(v) = '') AS empty, count(DISTINCT v) AS distinct_values, count(*) - count(DISTINCT v) AS duplicates FROM c GROUP BY 1")(
+query("audit_sources", f"WITH {ENTITIES_SQL}, c AS (UNPIVOT (SELECT entity_id, name, address, country FROM entities) ON entity_id, name, address, country INTO NAME \"column\" VALUE v) SELECT \"column\", count(*) AS rows, count(*) FILTER (trim(v) = '') AS empty, round(count(*) FILTER (trim(v) = '') * 100.0::DOUBLE / count(*), 6) AS empty_pct, count(DISTINCT v) AS distinct_values, count(*) - count(DISTINCT v) AS duplicates FROM c GROUP BY 1")(
     lambda s, d: evaluation.audit(fixtures.entities(s, d).drop("src")))
 query("audit_truth", f"WITH {ENTITIES_SQL}, t AS (SELECT sid, count(*) AS n FROM truth GROUP BY 1) SELECT least(4, coalesce(n, 0))::BIGINT AS matches, count(*) AS entities FROM s1 LEFT JOIN t ON entity_id = sid GROUP BY 1")(
     lambda s, d: evaluation.match_histogram(_pair(s, d)[0], fixtures.truth(s, d)))
@@ -109,23 +118,24 @@ def _keys_sql(side, rules):
     return " UNION ALL ".join(f"SELECT DISTINCT '{r}' AS rule, unnest({RULE_SQL[r]}) AS key, country, entity_id FROM {side}" for r in rules)
 
 
-def hits_sql(rules, base=ENTITIES_SQL, cap=50):
+def hits_sql(rules, base=ENTITIES_SQL):
     least = "CASE rule " + " ".join(f"WHEN '{r}' THEN {blocking.RULES[r].least}" for r in rules) + " END"
+    cap = "CASE rule " + " ".join(f"WHEN '{r}' THEN {blocking.RULES[r].cap}" for r in rules) + " END"
     w = "CASE rule " + " ".join(f"WHEN '{r}' THEN {blocking.RULES[r].weight}" for r in rules) + " END"
     return f"""WITH {base},
 k1 AS (SELECT * FROM ({_keys_sql('s1', rules)}) WHERE key <> '' AND country <> ''),
 ka AS (SELECT *, count(*) OVER (PARTITION BY rule, key, country) AS m FROM ({_keys_sql('s23', rules)}) WHERE key <> '' AND country <> ''),
-hits AS (SELECT a.entity_id AS sid, b.entity_id AS cid, rule, count(*) AS n FROM k1 a JOIN ka b USING (rule, key, country) WHERE m <= {cap} GROUP BY ALL HAVING count(*) >= {least}),
+hits AS (SELECT a.entity_id AS sid, b.entity_id AS cid, rule, count(*) AS n FROM k1 a JOIN ka b USING (rule, key, country) WHERE m <= ({cap}) GROUP BY ALL HAVING count(*) >= {least}),
 scored AS (SELECT sid, cid, sum({w})::BIGINT AS block_score, max({w})::BIGINT AS top, sum(n)::BIGINT AS votes, string_agg(rule, ',' ORDER BY rule) AS block_rules FROM hits GROUP BY ALL),
 cand AS (SELECT sid, cid, block_score, block_rules, row_number() OVER (PARTITION BY sid ORDER BY block_score DESC, cid)::INT AS block_rank FROM scored QUALIFY block_rank <= {TOP})
 """
 
 
-def _hits(s, d, rules=CORE, kind="entities"):
+def _hits(s, d, rules=ALL, kind="entities"):
     return blocking.hits(*_pair(s, d, kind), rules)
 
 
-def _cand(s, d, rules=CORE, kind="entities"):
+def _cand(s, d, rules=ALL, kind="entities"):
     return blocking.top_k(blocking.scored(_hits(s, d, rules, kind)), TOP)
 
 
@@ -133,9 +143,10 @@ for _rule in blocking.RULES:
     _num = "number" in _rule
     query(f"block_{_rule}", hits_sql([_rule], NUMBERED_SQL if _num else ENTITIES_SQL) + "SELECT sid, cid, n FROM hits")(
         lambda s, d, r=_rule, k="numbered" if _num else "entities": _hits(s, d, [r], k).select("sid", "cid", "n"))
-H = hits_sql(CORE)
-query("oversized_blocks", H + "SELECT rule, key, country, count(*) AS n FROM ka WHERE m > 50 GROUP BY ALL")(
-    lambda s, d: blocking.oversized(blocking.keys(_pair(s, d)[1], CORE)))
+H = hits_sql(ALL)
+CAP = "CASE rule " + " ".join(f"WHEN '{r}' THEN {blocking.RULES[r].cap}" for r in ALL) + " END"
+query("oversized_blocks", H + f"SELECT rule, key, country, count(*) AS n FROM ka WHERE m > ({CAP}) GROUP BY ALL")(
+    lambda s, d: blocking.oversized(blocking.keys(_pair(s, d)[1], ALL)))
 query("rank_votes", H + "SELECT sid, cid, votes AS block_score, block_rules FROM scored")(lambda s, d: blocking.scored(_hits(s, d), "votes"))
 query("rank_max", H + "SELECT sid, cid, top AS block_score, block_rules FROM scored")(lambda s, d: blocking.scored(_hits(s, d), "max"))
 query("rank_sum", H + "SELECT sid, cid, block_score, block_rules FROM scored")(lambda s, d: blocking.scored(_hits(s, d)))
@@ -162,17 +173,23 @@ _HALF = f"least(len(list_distinct({_N1})), len(list_distinct({_N2}))) > 0 AND {_
 _NAT = f"{NUM.replace('address', 'a.address')} <> '' AND {NUM.replace('address', 'a.address')} = {NUM.replace('address', 'b.address')} AND {_SN} > 0"
 query("block_prefix_residuals", f"WITH {ENTITIES_SQL} SELECT a.entity_id AS sid, b.entity_id AS cid, ({_HALF}) AS half_tokens, ({_NAT}) AS number_and_token FROM s1 a JOIN s23 b ON a.country = b.country AND {_P.format('a')} = {_P.format('b')} AND {_P.format('a')} <> '' WHERE ({_HALF}) OR ({_NAT})")(
     lambda s, d: blocking.prefix_residuals(*_pair(s, d)))
-CONFIGS = {"exact": ["exact_name"], "names": ["exact_name", "token12", "prefix5"], "all": list(CORE)}
+CONFIGS = {"exact": ["exact_name"], "names": ["exact_name", "token12", "prefix5"], "core": list(CORE), "all": list(ALL)}
+KS = [50, 100, 150, 200]
 _CONF = " UNION ALL ".join(f"SELECT '{c}' AS config, unnest({rs}) AS rule" for c, rs in CONFIGS.items())
-_W = "CASE rule " + " ".join(f"WHEN '{r}' THEN {blocking.RULES[r].weight}" for r in CORE) + " END"
-query("config_matrix", H + f""", conf AS ({_CONF}), kk AS (SELECT unnest([1, 5, 20])::INT AS top_k),
-p AS (SELECT config, sid, cid, row_number() OVER (PARTITION BY config, sid ORDER BY sum({_W}) DESC, cid) AS r FROM hits JOIN conf USING (rule) GROUP BY config, sid, cid)
-SELECT c.config, kk.top_k, count(p.sid) AS recovered, count(DISTINCT p.sid) AS entities FROM (SELECT DISTINCT config FROM conf) c CROSS JOIN kk
-LEFT JOIN (p JOIN truth t ON p.sid = t.sid AND p.cid = t.cid) ON p.config = c.config AND p.r <= kk.top_k GROUP BY ALL""")(
-    lambda s, d: blocking.config_matrix(_hits(s, d), fixtures.truth(s, d), CONFIGS, [1, 5, 20]))
+_W = "CASE rule " + " ".join(f"WHEN '{r}' THEN {blocking.RULES[r].weight}" for r in ALL) + " END"
+query("config_matrix", H + f""", conf AS ({_CONF}), kk AS (SELECT unnest({KS})::INT AS top_k), tt AS (SELECT DISTINCT sid, cid FROM truth), nt AS (SELECT sid, count(*) AS n_true FROM tt GROUP BY 1),
+p AS (SELECT config, sid, cid, row_number() OVER (PARTITION BY config, sid ORDER BY sum({_W}) DESC, cid) AS r FROM hits JOIN conf USING (rule) GROUP BY config, sid, cid),
+e AS (SELECT config, top_k, p.sid, count(*) AS n, count(tt.sid) AS hits FROM p JOIN kk ON r <= top_k LEFT JOIN tt ON p.sid = tt.sid AND p.cid = tt.cid GROUP BY ALL),
+g AS (SELECT config, top_k, sum(hits) AS hits, count(*) FILTER (hits > 0) AS n_some, count(*) FILTER (hits = n_true) AS whole, sum(n) AS n, max(n) AS most, count(*) AS reached FROM e LEFT JOIN nt USING (sid) GROUP BY ALL),
+z AS (SELECT (SELECT count(*) FROM tt) AS pairs, (SELECT count(*) FROM nt) AS entities, (SELECT count(*) FROM s1) AS records)
+SELECT c.config, kk.top_k, round(coalesce(hits / greatest(pairs, 1), 0), 6)::DOUBLE AS pair_recall, round(coalesce(n_some / greatest(entities, 1), 0), 6)::DOUBLE AS entity_recall, round(coalesce(whole / greatest(entities, 1), 0), 6)::DOUBLE AS all_match_rate,
+ round(coalesce(n / greatest(records, 1), 0), 6)::DOUBLE AS avg_candidates, coalesce(most, 0)::BIGINT AS max_candidates, (records - coalesce(reached, 0))::BIGINT AS zero_candidates
+FROM (SELECT DISTINCT config FROM conf) c CROSS JOIN kk CROSS JOIN z LEFT JOIN g ON g.config = c.config AND g.top_k = kk.top_k""")(
+    lambda s, d: (lambda x: x.withColumns({c: F.round(c, 6) for c in ("pair_recall", "entity_recall", "all_match_rate", "avg_candidates")}))(blocking.config_matrix(_hits(s, d), fixtures.truth(s, d), _pair(s, d)[0], CONFIGS, KS)))
 
 # --- features, labels and decisions ----------------------------------------------------
-_W1, _W2, _V1, _V2 = (f"list_distinct(list_filter(string_split({c}, ' '), lambda x: x <> ''))" for c in ("a.name", "b.name", "a.address", "b.address"))
+_L = "string_split(regexp_replace({0}, '\\s+', ' ', 'g'), ' ')"
+_W1, _W2, _V1, _V2 = (_L.format(c) for c in ("a.name", "b.name", "a.address", "b.address"))
 
 
 def _exact(f):
@@ -180,22 +197,22 @@ def _exact(f):
 
 
 def _len_sql(f):
-    return f"CASE WHEN {_exact(f)} THEN 100.0 WHEN a.{f} = '' OR b.{f} = '' THEN 0.0 ELSE least(length(a.{f}), length(b.{f})) * 100.0::DOUBLE / greatest(length(a.{f}), length(b.{f})) END"
+    return f"CASE WHEN {_exact(f)} THEN 100.0 WHEN length(a.{f}) = 0 OR length(b.{f}) = 0 THEN 0.0 ELSE 100.0::DOUBLE * least(length(a.{f}), length(b.{f})) / greatest(length(a.{f}), length(b.{f})) END"
 
 
-def _ov_sql(f, x, y, empty):
-    return f"CASE WHEN a.{f} = '' AND b.{f} = '' THEN {empty} WHEN {_exact(f)} THEN 100.0 WHEN least(len({x}), len({y})) = 0 THEN 0.0 ELSE len(list_distinct(list_intersect({x}, {y}))) * 100.0::DOUBLE / least(len({x}), len({y})) END"
+def _ov_sql(equal, x, y):
+    return f"CASE WHEN {equal} THEN 100.0 ELSE 100.0::DOUBLE * list_count(list_intersect({x}, {y})) / greatest(1, least(list_count({x}), list_count({y}))) END"
 
 
-_BOTH = f"len(list_distinct(list_intersect({_W1}, {_W2})))"
-_F1, _F2 = ("regexp_extract({}.address, '([0-9]+)', 1)".format(x) for x in "ab")
+_BOTH = f"list_count(list_intersect({_W1}, {_W2}))"
+_F1, _F2 = ("regexp_extract({}.address, '[0-9]+')".format(x) for x in "ab")
 FEAT = f"""feat AS (SELECT sid, cid, block_rank,
- {_len_sql('name')} AS name_ratio, CASE WHEN {_exact('name')} THEN 100.0 WHEN split_part(a.name, ' ', 1) <> '' AND contains(b.name, split_part(a.name, ' ', 1)) THEN 80.0 ELSE 0.0 END AS name_partial_ratio,
- CASE WHEN {_exact('name')} THEN 100.0 WHEN len({_W1}) + len({_W2}) - {_BOTH} = 0 THEN 0.0 ELSE {_BOTH} * 100.0::DOUBLE / (len({_W1}) + len({_W2}) - {_BOTH}) END AS name_token_sort_ratio,
- {_ov_sql('name', _W1, _W2, '0.0')} AS name_token_set_ratio, {_exact('name')}::INT AS name_exact, abs(length(a.name) - length(b.name)) AS name_length_diff,
- {_len_sql('address')} AS address_ratio, {_ov_sql('address', _V1, _V2, '0.0')} AS address_partial_ratio, {_ov_sql('address', _V1, _V2, '100.0')} AS address_token_set_ratio,
+ {_len_sql('name')} AS name_ratio, CASE WHEN {_exact('name')} THEN 100.0 WHEN position(split_part(a.name, ' ', 1) IN b.name) > 0 THEN 80.0 ELSE 0.0 END AS name_partial_ratio,
+ CASE WHEN a.name = b.name THEN 100.0 ELSE 100.0::DOUBLE * {_BOTH} / greatest(1, list_count(list_distinct(list_concat({_W1}, {_W2})))) END AS name_token_sort_ratio,
+ {_ov_sql('a.name = b.name', _W1, _W2)} AS name_token_set_ratio, {_exact('name')}::INT AS name_exact, abs(length(a.name) - length(b.name)) AS name_length_diff,
+ {_len_sql('address')} AS address_ratio, {_ov_sql(_exact('address'), _V1, _V2)} AS address_partial_ratio, {_ov_sql('a.address = b.address', _V1, _V2)} AS address_token_set_ratio,
  {_exact('address')}::INT AS address_exact, abs(length(a.address) - length(b.address)) AS address_length_diff, {_exact('country')}::INT AS country_match,
- least(127, {_BOTH}) AS shared_token_count, CASE WHEN len({_W1}) > 0 THEN {_BOTH}::DOUBLE / len({_W1}) ELSE 0.0 END AS shared_token_ratio,
+ least(127, {_BOTH}) AS shared_token_count, {_BOTH}::DOUBLE / greatest(1, list_count({_W1})) AS shared_token_ratio,
  ({_F1} = {_F2} AND {_F1} <> '')::INT AS address_number_match, ({_F1} = {_F2} AND {_F1} <> '')::INT AS address_number_count, (100 - block_rank)::DOUBLE AS candidate_score, block_rank AS candidate_rank
  FROM cand JOIN s1 a ON sid = a.entity_id JOIN s23 b ON cid = b.entity_id)"""
 _REAL = [c for c in features.FEATURES if c.endswith("ratio") or c == "candidate_score"]
@@ -206,7 +223,7 @@ def _rounded(df):
     return df.select("sid", "cid", *[F.round(F.col(c).cast("double"), 6).alias(c) if c in _REAL else F.col(c).cast("long").alias(c) for c in features.FEATURES])
 
 
-def _pairs(s, d, rules=CORE):
+def _pairs(s, d, rules=ALL):
     return features.with_records(_cand(s, d, rules), *_pair(s, d))
 
 
@@ -257,17 +274,17 @@ query("recall_blocking", H + _entities_sql("cand") + """SELECT count(*) FILTER (
  count(*) FILTER (n_true > 0 AND n_hit > 0 AND n_hit < n_true) AS partial, round(avg(n_found), 6) AS avg_candidates, max(n_found) AS max_candidates FROM e""")(
     lambda s, d: _r6(evaluation.blocking_recall(fixtures.truth(s, d), _cand(s, d)), "pair_recall", "entity_recall", "all_match_rate", "avg_candidates"))
 query("pair_metrics", H + MARGIN + _entities_sql("kept") + """, g AS (SELECT sum(n_hit)::BIGINT AS tp, sum(n_found - n_hit)::BIGINT AS fp, sum(n_true - n_hit)::BIGINT AS fn, count(*) FILTER (n_hit > 0) AS h, count(*) FILTER (n_found > n_hit) AS x, count(*) FILTER (n_true > n_hit) AS y,
- avg((n_hit = n_true AND n_hit = n_found)::INT) AS ex FROM e), m AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0 END AS r FROM g)
+ avg((coalesce(n_hit, 0) = coalesce(n_true, 0) AND coalesce(n_hit, 0) = coalesce(n_found, 0))::INT) AS ex FROM e FULL JOIN s1 ON e.sid = s1.entity_id), m AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 0 END AS r FROM g)
 SELECT tp, fp, fn, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1, round(CASE WHEN p + r > 0 THEN 1.25 * p * r / (0.25 * p + r) ELSE 0 END, 6) AS f05,
  round(CASE WHEN h + x > 0 THEN h::DOUBLE / (h + x) ELSE 0 END, 6) AS entity_precision, round(CASE WHEN h + y > 0 THEN h::DOUBLE / (h + y) ELSE 0 END, 6) AS entity_recall, round(ex, 6) AS exact_match_rate FROM m""")(
-    lambda s, d: _r6(evaluation.pair_metrics(fixtures.truth(s, d), matching.by_margin(_scored(s, d), 0.5)), "precision", "recall", "f1", "f05", "entity_precision", "entity_recall", "exact_match_rate"))
+    lambda s, d: _r6(evaluation.pair_metrics(fixtures.truth(s, d), matching.by_margin(_scored(s, d), 0.5), _pair(s, d)[0]), "precision", "recall", "f1", "f05", "entity_precision", "entity_recall", "exact_match_rate"))
 query("macro_f05", H + MARGIN + _entities_sql("kept") + """, a AS (SELECT coalesce(n_true, 0) AS t, coalesce(n_found, 0) AS f, coalesce(n_hit, 0) AS h FROM s1 LEFT JOIN e ON sid = entity_id), m AS (SELECT *, CASE WHEN f > 0 THEN h::DOUBLE / f ELSE 0 END AS p, CASE WHEN t > 0 THEN h::DOUBLE / t ELSE 1 END AS r FROM a)
 SELECT count(*) AS entities, round(avg(CASE WHEN t = 0 AND f = 0 THEN 0 WHEN p + r > 0 THEN 1.25 * p * r / (0.25 * p + r) ELSE 0 END), 6) AS macro_f05 FROM m""")(
     lambda s, d: _r6(evaluation.macro_f05(_pair(s, d)[0], fixtures.truth(s, d), matching.by_margin(_scored(s, d), 0.5)), "macro_f05"))
 query("rule_contribution", H + "SELECT rule, count(*) AS recovered FROM hits JOIN (SELECT DISTINCT sid, cid FROM truth) USING (sid, cid) GROUP BY 1")(lambda s, d: evaluation.rule_contribution(fixtures.truth(s, d), _hits(s, d)))
-_PRI = "CASE rule " + " ".join(f"WHEN '{r}' THEN {i}" for i, r in enumerate(reversed(CORE))) + " END"
+_PRI = "CASE rule " + " ".join(f"WHEN '{r}' THEN {i}" for i, r in enumerate(reversed(ALL))) + " END"
 query("first_recovering_rule", H + f", f AS (SELECT sid, cid, arg_min(rule, {_PRI}) AS rule FROM hits JOIN (SELECT DISTINCT sid, cid FROM truth) USING (sid, cid) GROUP BY ALL) SELECT rule, count(*) AS pairs FROM f GROUP BY 1")(
-    lambda s, d: evaluation.first_rule(fixtures.truth(s, d), _hits(s, d), list(reversed(CORE))))
+    lambda s, d: evaluation.first_rule(fixtures.truth(s, d), _hits(s, d), list(reversed(ALL))))
 query("fn_attribution", H + PROB + """SELECT CASE WHEN p.sid IS NOT NULL THEN 'found' WHEN c.sid IS NOT NULL THEN 'model' ELSE 'blocking' END AS stage, count(*) AS pairs FROM (SELECT DISTINCT sid, cid FROM truth) t
 LEFT JOIN cand c ON t.sid = c.sid AND t.cid = c.cid LEFT JOIN (SELECT sid, cid FROM prob WHERE probability >= 0.9) p ON t.sid = p.sid AND t.cid = p.cid GROUP BY 1""")(
     lambda s, d: evaluation.missed_by(fixtures.truth(s, d), _cand(s, d), matching.by_threshold(_scored(s, d), 0.9)))
@@ -296,14 +313,83 @@ query("score_spread", H + PROB + "SELECT count(*) AS n, round(avg(probability),
     lambda s, d: _r6(evaluation.spread(_scored(s, d), "probability"), "mean", "deviation", *[f"p{q}" for q in (10, 25, 50, 75, 90, 99)]))
 
 
+# --- reports, alignment and lookups ----------------------------------------------------
+_BR = """SELECT count(*) FILTER (n_true > 0)::DOUBLE AS entities, sum(n_hit)::DOUBLE / greatest(sum(n_true), 1) AS pair_recall, count(*) FILTER (n_true > 0 AND n_hit > 0)::DOUBLE / greatest(count(*) FILTER (n_true > 0), 1) AS entity_recall,
+ count(*) FILTER (n_true > 0 AND n_hit = n_true)::DOUBLE / greatest(count(*) FILTER (n_true > 0), 1) AS all_match_rate, count(*) FILTER (n_true > 0 AND n_hit > 0 AND n_hit < n_true)::DOUBLE AS partial, avg(n_found)::DOUBLE AS avg_candidates, max(n_found)::DOUBLE AS max_candidates"""
+_OLD = "(SELECT sid, cid FROM cand WHERE block_rank <= 5)"
+query("compare_recall", H + _entities_sql(_OLD) + f", o AS (UNPIVOT ({_BR} FROM e) ON COLUMNS(*) INTO NAME metric VALUE baseline)" + _entities_sql("cand").replace(" p AS", " p2 AS").replace("p.", "p2.").replace("JOIN p ", "JOIN p2 ").replace(", tt AS (SELECT DISTINCT sid, cid FROM truth)", "").replace("e AS (", "e2 AS (")
+      + f", w AS (UNPIVOT ({_BR} FROM e2) ON COLUMNS(*) INTO NAME metric VALUE other) SELECT metric, round(baseline, 6) AS baseline, round(other, 6) AS other, round(other - baseline, 6) AS delta FROM o JOIN w USING (metric)")(
+    lambda s, d: (lambda c: _r6(evaluation.compared(fixtures.truth(s, d), c.where("block_rank <= 5"), c), "baseline", "other", "delta"))(_cand(s, d)))
+query("recall_averages", H + _entities_sql("cand") + """SELECT round(sum(coalesce(n_true, 0))::DOUBLE / greatest(count(*) FILTER (n_true > 0), 1), 6) AS avg_truth, round(avg(coalesce(n_hit, 0)), 6) AS avg_recovered, round(avg(coalesce(n_found, 0)), 6) AS avg_candidates,
+ max(coalesce(n_found, 0))::BIGINT AS max_candidates, count(*) FILTER (coalesce(n_found, 0) = 0) AS zero_candidates, sum(coalesce(n_found, 0))::BIGINT AS total_candidates FROM s1 LEFT JOIN e ON sid = entity_id""")(
+    lambda s, d: _r6(evaluation.recall_averages(_pair(s, d)[0], fixtures.truth(s, d), _cand(s, d)), "avg_truth", "avg_recovered", "avg_candidates"))
+query("feature_recall", H + PROB + """, t AS (SELECT DISTINCT sid, cid FROM truth), g AS (SELECT t.sid, count(*) AS n, count(f.sid) AS h FROM t LEFT JOIN feat f ON t.sid = f.sid AND t.cid = f.cid GROUP BY 1)
+SELECT (SELECT count(*) FROM feat) AS stage_rows, coalesce(sum(n), 0)::BIGINT AS truth_pairs, coalesce(sum(h), 0)::BIGINT AS recovered_pairs, round(sum(h)::DOUBLE / greatest(sum(n), 1), 6) AS pair_recall, round(count(*) FILTER (h > 0)::DOUBLE / greatest(count(*), 1), 6) AS entity_recall,
+ round(count(*) FILTER (h >= n)::DOUBLE / greatest(count(*), 1), 6) AS all_match_rate, count(*) FILTER (h > 0 AND h < n) AS partial FROM g""")(
+    lambda s, d: _r6(evaluation.stage_recall(fixtures.truth(s, d), features.proxy(_pairs(s, d))), "pair_recall", "entity_recall", "all_match_rate"))
+LAB = PROB + ", lab AS (SELECT p.sid, p.cid, p.probability, (t.sid IS NOT NULL)::INT AS label FROM prob p LEFT JOIN (SELECT DISTINCT sid, cid FROM truth) t ON p.sid = t.sid AND p.cid = t.cid)"
+
+
+def _labelled(s, d):
+    return matching.labelled(_scored(s, d).select("sid", "cid", "probability"), fixtures.truth(s, d))
+
+
+query("probability_by_truth", H + LAB + "SELECT label, count(*) AS n, min(probability) AS least, " + ", ".join(f"round(quantile_cont(probability, {q / 100}), 6) AS p{q}" for q in (25, 50, 75)) + ", max(probability) AS greatest, round(avg(probability), 6) AS mean FROM lab GROUP BY 1")(
+    lambda s, d: _r6(evaluation.probability_by_truth(_labelled(s, d)), "p25", "p50", "p75", "mean"))
+_CELLS = ", c AS (SELECT y.y AS label, p.p AS predicted, (SELECT count(*) FROM lab WHERE label = y.y AND (probability >= 0.9)::INT = p.p) AS n FROM (SELECT unnest([0, 1])::INT AS y) y CROSS JOIN (SELECT unnest([0, 1])::INT AS p) p)"
+query("confusion_matrix", H + LAB + _CELLS + "SELECT * FROM c")(lambda s, d: matching.confusion(_labelled(s, d), 0.9))
+query("classification_report", H + LAB + _CELLS + """, g AS (SELECT y, sum(n) FILTER (label = y AND predicted = y) AS tp, sum(n) FILTER (predicted = y) AS said, sum(n) FILTER (label = y) AS support FROM c CROSS JOIN (SELECT unnest([0, 1])::INT AS y) GROUP BY 1),
+m AS (SELECT *, CASE WHEN said > 0 THEN tp::DOUBLE / said ELSE 0 END AS p, CASE WHEN support > 0 THEN tp::DOUBLE / support ELSE 0 END AS r FROM g)
+SELECT y AS label, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1, support::BIGINT AS support FROM m""")(
+    lambda s, d: _r6(matching.class_report(_labelled(s, d), 0.9), "precision", "recall", "f1"))
+query("score_areas", H + LAB + """, g AS (SELECT probability AS p, sum(label) AS pos, sum(1 - label) AS neg FROM lab GROUP BY 1), c AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM g WINDOW w AS (ORDER BY p DESC ROWS UNBOUNDED PRECEDING))
+SELECT round(sum(neg * (tp - pos / 2.0::DOUBLE)) / (sum(pos) * sum(neg)), 6) AS roc_auc, round(sum(pos * tp::DOUBLE / (tp + fp)) / sum(pos), 6) AS average_precision FROM c""")(
+    lambda s, d: _r6(matching.score_areas(_labelled(s, d)), "roc_auc", "average_precision"))
+query("missed_sample", H + "SELECT DISTINCT t.sid, t.cid FROM truth t WHERE (t.sid, t.cid) NOT IN (SELECT (sid, cid) FROM hits WHERE rule = 'address_number') ORDER BY sid, cid LIMIT 20")(
+    lambda s, d: evaluation.missed_sample(fixtures.truth(s, d), _hits(s, d).where("rule = 'address_number'")))
+query("column_diff", "SELECT * FROM (VALUES ('business_name', 'missing', false), ('business_address', 'missing', false), ('entity_id', 'present', true), ('src', 'unexpected', false), ('name', 'unexpected', false), ('address', 'unexpected', false), ('country', 'present', false)) v(\"column\", state, in_place)")(
+    lambda s, d: evaluation.column_diff(fixtures.entities(s, d), [f.name for f in tables.RECORD]))
+query("result_summary", H + MARGIN + f", {_M}" + r""", l AS (SELECT sid, list_filter(string_split(matched_entity_ids, ','), lambda x: x <> '') AS ids FROM m),
+k AS (SELECT len(ids) AS n, len(list_filter(ids, lambda x: regexp_matches(x, '^S2-\d+$'))) AS s2, len(list_filter(ids, lambda x: regexp_matches(x, '^S3-\d+$'))) AS s3 FROM l), z AS (SELECT entity_id, count(cid) AS n FROM s1 LEFT JOIN cand ON sid = entity_id GROUP BY 1),
+a AS (SELECT count(*) AS rows, sum(s2)::BIGINT AS s2_ids, sum(s3)::BIGINT AS s3_ids, sum(n - s2 - s3)::BIGINT AS malformed_ids, count(*) FILTER (n > 0) AS matched_s1, round(avg((n > 0)::INT) * 100, 6) AS match_coverage FROM k)
+SELECT a.*, min(n) AS min_candidates, round(avg(n), 6) AS avg_candidates, max(n) AS max_candidates, count(*) FILTER (n = 0) AS zero_candidates FROM z CROSS JOIN a GROUP BY ALL""")(
+    lambda s, d: _r6(evaluation.result_summary(_pair(s, d)[0], matching.assemble(_pair(s, d)[0], matching.by_margin(_scored(s, d), 0.5)), _cand(s, d)), "match_coverage", "avg_candidates"))
+query("lookup_completeness", H + "SELECT count(*) AS requested, count(b.entity_id) AS found, count(*) - count(b.entity_id) AS missing FROM (SELECT DISTINCT cid FROM cand) c LEFT JOIN (SELECT * FROM s23 WHERE src = 2) b ON cid = b.entity_id")(
+    lambda s, d: evaluation.lookup_completeness(_cand(s, d), fixtures.entities(s, d).where("src = 2")))
+query("alignment", H + """SELECT count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS common, count(*) FILTER (b IS NULL) AS only_left, count(*) FILTER (a IS NULL) AS only_right, count(*) FILTER (a > 1 OR b > 1) AS repeated
+FROM (SELECT entity_id AS sid, count(*) AS a FROM s1 GROUP BY 1) x FULL JOIN (SELECT sid, count(*) AS b FROM cand GROUP BY 1) y USING (sid)""")(
+    lambda s, d: evaluation.alignment(_pair(s, d)[0], _cand(s, d)))
+query("aligned_outputs", H + MARGIN + """SELECT entity_id AS sid, coalesce((SELECT string_agg(cid, ',' ORDER BY substr(cid, 1, 2), probability DESC, cid) FROM kept k WHERE k.sid = s1.entity_id), '') AS matched_entity_ids,
+ coalesce((SELECT string_agg(cid, ',' ORDER BY substr(cid, 1, 2), block_rank, cid) FROM cand c WHERE c.sid = s1.entity_id), '') AS candidate_entity_ids FROM s1""")(
+    lambda s, d: matching.aligned(_pair(s, d)[0], matching.by_margin(_scored(s, d), 0.5), _cand(s, d)))
+query("candidate_list_parse", H + "SELECT sid, cid, block_rank FROM cand")(lambda s, d: tables.parsed_list(tables.as_list(_cand(s, d), "ids"), "ids"))
+query("fetch_records", H + "SELECT entity_id, name, address, country FROM s23 WHERE entity_id IN (SELECT cid FROM cand WHERE block_rank <= 3)")(
+    lambda s, d: tables.fetched(_pair(s, d)[1], _cand(s, d).where("block_rank <= 3").select(F.col("cid").alias("entity_id"))).select("entity_id", "name", "address", "country"))
+query("keep_first", f"WITH {ENTITIES_SQL} SELECT entity_id, name, country FROM entities QUALIFY row_number() OVER (PARTITION BY name, country ORDER BY entity_id) = 1")(
+    lambda s, d: tables.keep_first(fixtures.entities(s, d).select("entity_id", "name", "country"), ["name", "country"], ["entity_id"]))
+query("group_sizes", f"WITH {ENTITIES_SQL} SELECT entity_id, count(*) OVER (PARTITION BY address, country) AS n FROM entities")(
+    lambda s, d: (lambda e: e.join(e.groupBy("address", "country").agg(F.count("*").alias("n")), ["address", "country"]).select("entity_id", "n"))(fixtures.entities(s, d).select("entity_id", "address", F.coalesce("country", F.lit("")).alias("country"))))
+
+
+@query("incremental_match", H + "SELECT sid, cid, block_score, block_rules, block_rank FROM cand")
+def incremental_match(s, d):
+    """S1 records that arrive as files are matched once each by a stream that runs until it has caught up."""
+    s1, source = _pair(s, d)
+    base = f"{staging.shared_dir(s)}/incremental-{staging.uuid.uuid4().hex}"
+    s1.withColumn("arrival", F.pmod(F.xxhash64("entity_id"), F.lit(3)).cast("int")).write.partitionBy("arrival").parquet(f"{base}/in")
+    match_stream(s, f"{base}/in/*", s1.schema, staging.staged(source, "source"), f"{base}/out", f"{base}/checkpoint", TOP, ALL, files_per_batch=4).awaitTermination()
+    kinds = "sid string, cid string, block_score long, block_rules string, block_rank int"
+    return s.read.schema(f"{kinds}, batch int").parquet(f"{base}/out").select("sid", "cid", "block_score", "block_rules", "block_rank")
+
+
 # --- rows only -------------------------------------------------------------------------
-R["features_fuzzy"] = lambda s, d: features.fuzzy(_pairs(s, d, blocking.V8))
+R["features_fuzzy"] = lambda s, d: features.fuzzy(_pairs(s, d))
 
 
 @query("train_predict_gbt")
 def train_predict_gbt(s, d):
     """Train on 80 % of the S1 records, score the others."""
-    pairs = matching.group_split(matching.labelled(features.proxy(_pairs(s, d, blocking.V8)), fixtures.truth(s, d)))
+    pairs = staging.staged(matching.group_split(matching.labelled(features.proxy(_pairs(s, d)), fixtures.truth(s, d))), "pairs")
     model = matching.train(pairs.where("in_train"))
     return matching.predict(model, pairs.where("NOT in_train")).select("sid", "cid", "label", "probability")
 

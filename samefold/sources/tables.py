@@ -11,9 +11,9 @@ RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("entity_id", "
 TRUTH = T.StructType([T.StructField(n, T.StringType()) for n in ("source1_entity_id", "matched_entity_ids")])
 #: Accepted spellings of the record columns (fixed values).
 ALIASES = {
-    "entity_id": ("entity_id", "id", "record_id"),
+    "entity_id": ("entity_id", "source2_entity_id", "source3_entity_id", "id", "record_id"),
     "business_name": ("business_name", "name", "company_name", "entity_name"),
-    "business_address": ("business_address", "address", "full_address"),
+    "business_address": ("business_address", "address", "address_full", "full_address"),
     "country": ("country", "country_code", "nation"),
 }
 
@@ -51,7 +51,7 @@ def first_rows(df: DataFrame, n: int, key: str, offset=0) -> DataFrame:
 
 def split_ids(c) -> "F.Column":
     """Ids of a delimited list, blanks dropped."""
-    return F.filter(F.transform(F.split(c, r"[,;|\s]+"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, r"[,;|\s]+"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def truth_pairs(truth: DataFrame, prefix: str | None = None) -> DataFrame:
@@ -73,8 +73,19 @@ def as_list(pairs: DataFrame, out: str, rank="block_rank", sep=",") -> DataFrame
     return pairs.groupBy("sid").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), "cid"))), lambda x: x["cid"]), sep).alias(out))
 
 
-def write_delimited(df: DataFrame, path: str, sep="\t", mode="error", single=False) -> None:
-    """Partitioned export; ``single`` makes one file, for small reports only."""
+def parsed_list(lists: DataFrame, column: str) -> DataFrame:
+    """(sid, cid, block_rank) of one row per sid with its ids in order."""
+    return lists.select("sid", F.posexplode(split_ids(F.col(column))).alias("p", "cid")).select("sid", "cid", (F.col("p") + 1).alias("block_rank"))
+
+
+def fetched(source: DataFrame, ids: DataFrame, key="entity_id") -> DataFrame:
+    """The rows of ``source`` whose key is asked for."""
+    return source.join(ids.select(key).distinct(), key, "left_semi")
+
+
+def write_delimited(df: DataFrame, path: str, sep="\t", mode="error", single=False, order=()) -> None:
+    """Partitioned export, sorted by ``order``; ``single`` makes one file, for small reports only."""
+    df = df.orderBy(*order) if order else df
     (df.coalesce(1) if single else df).write.mode(mode).option("sep", sep).option("header", True).option("emptyValue", "").csv(path)
 
 

@@ -1,7 +1,9 @@
+import random
+
 import pytest
 
 from samefold.operators import blocking, evaluation, features, matching
-from samefold.sources import tables
+from samefold.sources import staging, tables
 from samefold.streaming.incremental import match_stream
 
 REC = "entity_id string, name string, address string, country string"
@@ -78,3 +80,116 @@ def test_cap_of_50_drops_larger_blocks(spark):
     assert {(r.sid, r["count"]) for r in blocking.hits(s1, src, rule).groupBy("sid").count().collect()} == {("S1-1", 51), ("S1-2", 50)}
     assert {(r.sid, r["count"]) for r in blocking.hits(s1, src, rule, {"exact_name": 50}).groupBy("sid").count().collect()} == {("S1-2", 50)}
     assert [(r.key, r.n) for r in blocking.oversized(blocking.keys(src, rule), {"exact_name": 50}).collect()] == [("acme", 51)]
+
+
+def test_expression_features_keep_repeats_and_empty_tokens(spark):
+    """By the definitions: token lists with repeats in the denominators, an empty text is one empty token."""
+    rows = [("a", "b", "acme acme", "1 main main road", "us", "acme acme corp", "main road", "us", 1), ("a", "c", "", "", "us", "", "", "us", 2), ("a", "d", "", "x", "us", "acme", "", "in", 3)]
+    pairs = spark.createDataFrame(rows, "sid string, cid string, n1 string, a1 string, c1 string, n2 string, a2 string, c2 string, block_rank int")
+    f = {r.cid: r for r in features.proxy(pairs).collect()}
+    b = f["b"]
+    assert (b.name_token_set_ratio, b.name_token_sort_ratio, b.shared_token_count, b.shared_token_ratio) == (50.0, 50.0, 1, 0.5)
+    assert (b.address_partial_ratio, b.address_token_set_ratio) == (100.0, 100.0)
+    c = f["c"]
+    assert (c.name_token_set_ratio, c.name_token_sort_ratio, c.name_ratio, c.name_partial_ratio, c.address_partial_ratio, c.shared_token_count, c.name_exact) == (100.0, 100.0, 0.0, 80.0, 100.0, 1, 0)
+    d = f["d"]
+    assert (d.name_partial_ratio, d.name_token_set_ratio, d.address_token_set_ratio, d.shared_token_ratio, d.country_match) == (80.0, 0.0, 0.0, 0.0, 0)
+
+
+def plain_lcs(a, b):
+    last = [0] * (len(b) + 1)
+    for x in a:
+        now = [0]
+        for j, y in enumerate(b):
+            now.append(last[j] + 1 if x == y else max(last[j + 1], now[j]))
+        last = now
+    return last[-1]
+
+
+def test_fuzzy_features_equal_brute_force(spark):
+    rnd = random.Random(5)
+    text = lambda: " ".join(rnd.choice(["acme", "acne", "tools", "tool", "main", "road", "12", "3"]) for _ in range(rnd.randint(0, 5)))
+    rows = [("s", f"c{i:03}", text(), text(), "us", text(), text(), "us", i) for i in range(200)]
+    pairs = spark.createDataFrame(rows, "sid string, cid string, n1 string, a1 string, c1 string, n2 string, a2 string, c2 string, block_rank int")
+    ratio = lambda a, b: 200.0 * plain_lcs(a, b) / (len(a) + len(b)) if a + b else 100.0
+
+    def partial(a, b):
+        s, t = sorted((a, b), key=len)
+        return max(ratio(s, t[max(0, i) : i + len(s)]) for i in range(1 - len(s), len(t))) if s else 0.0 if t else 100.0
+
+    got = {r.cid: r for r in features.fuzzy(pairs, 300).collect()}
+    for _, cid, n1, a1, _, n2, a2, _, _ in rows:
+        g = got[cid]
+        want = (ratio(n1, n2), partial(n1, n2), ratio(" ".join(sorted(n1.split())), " ".join(sorted(n2.split()))), ratio(a1, a2), partial(a1, a2))
+        assert (g.name_ratio, g.name_partial_ratio, g.name_token_sort_ratio, g.address_ratio, g.address_partial_ratio) == pytest.approx(want)
+        both = len(set(n1.split()) & set(n2.split()))
+        assert g.shared_token_count == both and g.shared_token_ratio == pytest.approx(both / len(set(n1.split())) if n1 else 0.0)
+        assert g.candidate_score == pytest.approx(0.45 * g.name_token_set_ratio + 0.2 * g.name_ratio + 0.15 * g.name_partial_ratio + 0.1 * g.address_token_set_ratio + 0.05 * g.address_ratio + 5 + 3 * g.address_number_match)
+    best = sorted(rows, key=lambda r: (-got[r[1]].candidate_score, r[1]))[:7]
+    assert {r.cid for r in features.fuzzy(pairs, 7).collect()} == {r[1] for r in best}
+
+
+def test_model_is_saved_checked_and_reported(spark, tmp_path):
+    rnd = random.Random(1)
+    rows = [(f"S1-{i}", f"S2-{i}", i % 2, *[float(rnd.random() + (i % 2) * (k == 0)) for k in range(len(features.FEATURES))]) for i in range(200)]
+    pairs = spark.createDataFrame(rows, "sid string, cid string, label int, " + ", ".join(f"{c} double" for c in features.FEATURES))
+    model = matching.train(pairs, trees=3, depth=2)
+    matching.save(model, str(tmp_path / "m"))
+    again = matching.load(str(tmp_path / "m"))
+    first, second = (matching.predict(m, pairs).orderBy("sid").collect() for m in (model, again))
+    assert [r.probability for r in first] == [r.probability for r in second]
+    assert matching.importance(again)[0][0] == features.FEATURES[0] and len(matching.importance(again)) == len(features.FEATURES)
+    p = {r.sid: (r.label, round(r.probability, 6)) for r in first}
+    pos, neg = ([x for y, x in p.values() if y == k] for k in (1, 0))
+    auc = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
+    scored = matching.predict(model, pairs)
+    assert matching.score_areas(scored).first().roc_auc == pytest.approx(auc)
+    assert matching.areas(scored)["areaUnderROC"] == pytest.approx(auc, abs=0.02)
+    weights = {r.label: r.weight for r in matching.class_weight(pairs.where("label = 0 OR sid < 'S1-5'")).collect()}
+    ones = pairs.where("label = 1 AND sid < 'S1-5'").count()
+    assert weights == {0: 1.0, 1: pytest.approx(100 / ones)}
+    with pytest.raises(ValueError):
+        matching.require_candidates(pairs, pairs.limit(0))
+
+
+def test_lists_lookups_and_staging(spark, tmp_path):
+    lists = spark.createDataFrame([("S1-1", "S2-10, S2-11;S3-118|S3-8 "), ("S1-2", "")], "sid string, ids string")
+    assert [tuple(r) for r in tables.parsed_list(lists, "ids").collect()] == [("S1-1", c, i + 1) for i, c in enumerate(["S2-10", "S2-11", "S3-118", "S3-8"])]
+    pairs = spark.createDataFrame([("S1-1", "S2-1", 2, 7), ("S1-1", "S3-1", 1, 9), ("S1-2", "S2-1", 1, 5)], "source1_entity_id string, source_entity_id string, block_rank int, block_score int")
+    tables.write_delimited(pairs, str(tmp_path / "pairs"), order=["source1_entity_id", "block_rank"])
+    assert {tuple(r) for r in tables.read_candidates(spark, str(tmp_path / "pairs")).collect()} == {("S1-1", "S2-1", 2), ("S1-1", "S3-1", 1), ("S1-2", "S2-1", 1)}
+    tables.write_delimited(lists.toDF("source1_entity_id", "candidate_entity_ids"), str(tmp_path / "lists"))
+    assert tables.read_candidates(spark, str(tmp_path / "lists")).count() == 4
+    for _ in range(2):
+        tables.write_delimited(lists.where("sid = 'S1-1'"), str(tmp_path / "more"), mode="append")
+    assert tables.read_delimited(spark, str(tmp_path / "more")).count() == 2
+    assert [r.sid for r in tables.unfinished(lists, lists.where("sid = 'S1-1'"), "sid").collect()] == ["S1-2"]
+    named = spark.createDataFrame([("S3-1", "n", "a", "us")], "source3_entity_id string, name string, address_full string, country_code string")
+    assert tables.resolve(named).columns == list(tables.ALIASES)
+    assert staging.registered(lists, "some_lists").count() == spark.sql("SELECT * FROM some_lists").count() == staging.staged(lists, "lists").count()
+    with pytest.raises(ValueError):
+        staging.require_unique(pairs, "source1_entity_id")
+    got = {tuple(r) for r in evaluation.column_diff(lists, ["ids", "other"]).collect()}
+    assert got == {("other", "missing", False), ("sid", "unexpected", False), ("ids", "present", False)}
+    assert tuple(evaluation.alignment(lists.withColumnRenamed("sid", "entity_id"), pairs.withColumnRenamed("source1_entity_id", "sid")).first()) == (2, 0, 0, 1)
+
+
+def test_block_joins_on_all_their_tokens(spark):
+    rnd = random.Random(9)
+    name = lambda: " ".join(rnd.choice(["acme", "acme", "tool", "road", "x", "corp"]) for _ in range(rnd.randint(0, 5)))
+    rec = lambda p, n: [(f"{p}-{i}", name(), rnd.choice(["", "1 a", "2 b"]), rnd.choice(["us", "in"])) for i in range(n)]
+    s1, src = rec("S1", 60), rec("S2", 90)
+    a, b = spark.createDataFrame(s1, REC), spark.createDataFrame(src, REC)
+    tok = lambda t: [w for w in t.split() if len(w) > 1]
+    want = {(x[0], y[0]) for x in s1 for y in src if x[3] == y[3] and len(tok(x[1])) >= 2 and set(tok(x[1])[:2]) <= set(tok(y[1]))}
+    assert {tuple(r) for r in blocking.tokens_any(a, b).collect()} == want
+    pre = lambda t: t.replace(" ", "")[:3] if len(t.replace(" ", "")) >= 3 else ""
+    want = set()
+    for x in s1:
+        for y in src:
+            t, u = set(tok(x[1])), set(tok(y[1]))
+            if x[3] == y[3] and pre(x[1]) and pre(x[1]) == pre(y[1]):
+                half, number = bool(t and u) and len(t & u) >= 0.5 * min(len(t), len(u)), x[2] != "" and x[2] == y[2] and bool(t & u)
+                if half or number:
+                    want.add((x[0], y[0], half, number))
+    assert {tuple(r) for r in blocking.prefix_residuals(a, b).collect()} == want

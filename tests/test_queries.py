@@ -1,6 +1,10 @@
+import hashlib
+import unicodedata
+
 import __spark_entry__ as entry
 import duckdb
 import pytest
+import regex
 from samefold.operators import matching
 
 SF = "/root/testdata/sf0.001"
@@ -27,6 +31,17 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
+def test_folding_equals_unicodedata(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = entry.queries()["normalize_nfkc"](spark, SF).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        t = unicodedata.normalize("NFKC", docs[r.doc_id].text or "")
+        folded = regex.sub(r"https?://\S+|www\.\S+", " ", t.casefold())
+        plain = " ".join(regex.sub(r"[^\p{L}\p{M}\p{N}\s]", " ", folded).split())
+        assert r.n == len(t) and r.h == hashlib.md5(plain.encode()).hexdigest()
+
+
 @pytest.mark.parametrize("name", ["normalize_nfkc", "features_fuzzy"])
 def test_rows_only(spark, name):
     assert entry.queries()[name](spark, SF).count() > 0
