@@ -29,14 +29,16 @@ def configure(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares (``spark.checkpoint.dir``).
 
-    A folder of our own is used only where the setting is absent, as in local
-    tests, where driver and executors are one process on one machine.
+    A folder of our own is used only where the setting is absent beside a local
+    master, as in tests, where driver and executors are one process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = found.get() if found.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="samefold-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -71,6 +73,25 @@ def dispose(df: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def parts(spark: SparkSession, rows: int, each: int) -> int:
+    """Partitions for ``rows`` that are dealt by an explicit count, ``each`` a task; grows with the table."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(rows) // each))
+
+
+#: Rows of few bytes that may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def few(df: DataFrame, rows=BROADCAST_ROWS) -> bool:
+    """Whether a narrow table is proven small enough to broadcast."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def join_small(left: DataFrame, right: DataFrame, keys, how="inner", rows=BROADCAST_ROWS) -> DataFrame:
+    """``left`` joined with a narrow table, which is broadcast only if it is proven small."""
+    return left.join(F.broadcast(right) if few(right, rows) else right, keys, how)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

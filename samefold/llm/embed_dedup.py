@@ -1,4 +1,4 @@
-"""Near-duplicate embeddings by counting collisions of sorted projections.
+"""Near-duplicate embeddings by counting collisions of projections.
 
 A pair within the cosine bound has a short difference, so on a random
 one-dimensional projection its two values fall into a window centred on either
@@ -6,21 +6,29 @@ of them.  A pair that collides on enough of ``PROJECTIONS`` projections is
 verified by its cosine in double precision; the count is calibrated by
 simulation for pairs that lie exactly on the bound.
 
-Counting over all pairs would be quadratic, so counting is confined to vectors
-that share a cell: the windows of ``k`` further projections taken together.  ``k``
-grows with the logarithm of the number of vectors, so that a cell holds a fixed
-expected number of unrelated vectors, and the number of tables of such cells
-follows from ``RECALL`` for pairs on the bound.  Queries of a crowded cell are
-dealt to several tasks; the others of the cell stream past them.
+Counting over all pairs would be quadratic, and any one window holds a large
+share of all vectors, so counting is confined to vectors that share a cell.  A
+table draws ``k`` random rotations; a vector's cell names, for each of them, the
+projection of largest magnitude and its sign.  Near vectors agree on it far more
+often than others do (0.6 against 0.006 in 64 dimensions), so that the number of
+tables that ``RECALL`` asks for hardly grows with the number of vectors.  ``k``
+is chosen by the expected cost of the rows that have to move.
+
+Cells and members are counted as narrow rows; a vector is sent only to cells
+that it shares with others.  A crowded cell is dealt as a grid of ``QUERIES``
+queries by ``SLICE`` members, so no task gets more, and each grid cell sends on
+a forest of its links and counts, never its pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different length do not link; equal
-vectors are one class whose members link with each other; repeated ids are
-repeated rows; null ids are ignored; an empty table gives an empty result.
+vectors are one class whose members link with each other; rows with equal ids are
+one vector, the sound one of least digest, and give one row; null ids are
+ignored; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -34,12 +42,16 @@ from samefold.llm.components import connected_components
 BOUND = 0.95
 RECALL = 0.999
 PROJECTIONS = 32
-#: Window half-width and cell width, in deviations of a bounding pair's difference.
-WINDOW, CELL = 2.5, 9.0
-#: Unrelated vectors expected in one cell.
-OCCUPANCY = 64
-#: Queries that one task compares with the vectors of a cell.
-QUERIES = 1024
+#: Window half-width, in deviations of a bounding pair's difference.
+WINDOW = 2.5
+#: Queries and members that one task compares with each other in a cell.
+QUERIES, SLICE = 1024, 2048
+#: Bytes of a counted cell row, and of a vector's row beside its components.
+NARROW, WIDE = 16, 100
+#: Vectors whose projections are computed at once.
+BLOCK = 256
+#: Rows that one task of the comparison gets.
+TASK_ROWS = 50_000
 SEED = 11
 
 
@@ -55,6 +67,7 @@ def spread(dim: int, bound: float) -> float:
     return math.sqrt(2 * (1 - bound) / dim)
 
 
+@functools.lru_cache
 def needed_count(dim: int, bound: float, recall=RECALL) -> int:
     """Largest collision count that pairs on the bound reach with ``recall``."""
     g = directions(dim, PROJECTIONS, SEED)
@@ -64,164 +77,190 @@ def needed_count(dim: int, bound: float, recall=RECALL) -> int:
     return int(np.quantile(hits, 1 - recall, method="lower"))
 
 
-def tables(n: int, dim: int, bound: float, recall=RECALL) -> tuple[int, int]:
-    """(projections a cell, number of tables) for ``n`` vectors."""
-    rng = np.random.default_rng(3)
-    width = CELL * spread(dim, bound)
+def extreme(y: np.ndarray) -> np.ndarray:
+    """Index and sign of the projection of largest magnitude, along the last axis."""
+    at = np.abs(y).argmax(axis=-1)
+    top = np.take_along_axis(y, at[..., None], -1)[..., 0]
+    return 2 * at + (top > 0)
 
-    def same(vectors):
-        return float(np.clip(1 - np.abs(vectors) / width, 0, None).mean())
 
-    u = rng.standard_normal(200_000)
-    near, far = same(u * spread(dim, bound)), same(u * math.sqrt(2 / dim))
-    k = max(1, math.ceil(math.log(max(n, 2) / OCCUPANCY) / -math.log(far)))
-    return k, max(1, math.ceil(math.log(1 - recall) / math.log(1 - near**k)))
+@functools.lru_cache
+def agreement(dim: int, bound: float) -> tuple[float, float]:
+    """Chance that pairs on the bound, and unrelated pairs, share their extreme."""
+    rng = np.random.default_rng(3)
+    u, v = rng.standard_normal((2, 20_000, dim))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    v -= (u * v).sum(axis=1, keepdims=True) * u
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    near = bound * u + math.sqrt(1 - bound * bound) * v
+    hits = [float((extreme(u @ g) == extreme(near @ g)).mean()) for g in (directions(dim, dim, 100 + i) for i in range(4))]
+    return float(np.mean(hits)), 1 / (2 * dim)
 
 
-def _cells(batches, dim, k, n_tables, bound):
-    width = CELL * spread(dim, bound)
-    g = directions(dim, k * n_tables, SEED + 1)
-    shift = np.random.default_rng(SEED + 2).random(k * n_tables)
+def tables(n: int, dim: int, bound: float, recall=RECALL) -> tuple[int, int]:
+    """(rotations a cell, number of tables) of the least expected traffic for ``n`` vectors."""
+    near, far = agreement(dim, bound)
+    best = None
+    for k in range(1, 16):
+        count = max(1, math.ceil(math.log(1 - recall) / math.log(max(1e-12, 1 - near**k)))) if near < 1 else 1
+        company = n * far**k
+        cost = count * (NARROW + (1 - math.exp(-company)) * (WIDE + 4 * dim) + company * 2)
+        if best is None or cost < best[0]:
+            best = (cost, k, count)
+    return best[1:]
+
+
+def _hashed(batches, dim, k, n_tables):
+    """(id, n, cells, vec): the cell of a vector in every table, as 32-bit numbers."""
+    turns = directions(dim, dim * k * n_tables, SEED + 1).astype(np.float32)
     mix = np.random.default_rng(SEED + 3).integers(1, 1 << 62, k, dtype=np.int64) | 1
     for b in batches:
-        x = np.stack(b.column(2).to_numpy(zero_copy_only=False)).astype(np.float64)
-        unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-        at = np.floor(unit @ g / width + shift).astype(np.int64).reshape(len(x), n_tables, k)
-        with np.errstate(over="ignore"):
-            key = (at * mix).sum(axis=2)
-            key ^= key >> 29
-            key = (key * 0x5851F42D4C957F2D >> 32).astype(np.int32)
-        raw = x.astype(np.float32) if (x.astype(np.float32) == x).all() else x
-        vec = [v.tobytes() for v in raw]
-        all_cells = [c.tobytes() for c in key]
-        n = len(x)
-        rep = np.repeat(np.arange(n), n_tables)
-        take = pa.array(rep)
-        yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(np.tile(np.arange(n_tables, dtype=np.int32), n)), pa.array(key.ravel()), pa.array(all_cells, pa.binary()).take(take), pa.array(vec, pa.binary()).take(take)], ["id", "n", "tab", "cell", "cells", "vec"])
-
-
-class _Group:
-    """One chunk of queries of a cell, and what streams past it."""
-
-    def __init__(self, tab, dim, bound, least, g):
+        for lo in range(0, b.num_rows, BLOCK):
+            part = b.slice(lo, BLOCK)
+            x = np.stack(part.column(2).to_numpy(zero_copy_only=False)).astype(np.float64)
+            unit = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+            at = np.stack([extreme((unit @ turns[:, t * dim * k : (t + 1) * dim * k]).reshape(len(x), k, dim)) for t in range(n_tables)], axis=1)
+            with np.errstate(over="ignore"):
+                key = ((at + 1) * mix).sum(axis=2)
+                key ^= key >> 29
+                key = (key * 0x5851F42D4C957F2D >> 32).astype(np.int32)
+            raw = x.astype(np.float32) if (x.astype(np.float32) == x).all() else x
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([c.tobytes() for c in key], pa.binary()), pa.array([v.tobytes() for v in raw], pa.binary())], ["id", "n", "cells", "vec"])
+
+
+def _narrow(batches):
+    """(tab, cell, id) of every vector and table."""
+    for b in batches:
+        key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int32).reshape(b.num_rows, -1)
+        n = key.shape[1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.tile(np.arange(n, dtype=np.int32), len(key))), pa.array(key.ravel()), b.column(0).take(pa.array(np.repeat(np.arange(len(key)), n)))], ["tab", "cell", "id"])
+
+
+def forest(linked: np.ndarray) -> list[tuple[int, int, bool]]:
+    """Edges (row, row or column, is a column) that connect what ``linked`` connects."""
+    rows_seen, cols_seen = np.zeros(linked.shape[0], bool), np.zeros(linked.shape[1], bool)
+    out: list[tuple[int, int, bool]] = []
+    for start in np.flatnonzero(linked.any(axis=1)).tolist():
+        if rows_seen[start]:
+            continue
+        rows_seen[start] = True
+        front = np.asarray([start])
+        while len(front):
+            cols = np.flatnonzero(linked[front].any(axis=0) & ~cols_seen)
+            cols_seen[cols] = True
+            out.extend((start, c, True) for c in cols.tolist())
+            front = np.flatnonzero(linked[:, cols].any(axis=1) & ~rows_seen) if len(cols) else np.zeros(0, int)
+            rows_seen[front] = True
+            out.extend((start, r, False) for r in front.tolist())
+    return out
+
+
+class _Grid:
+    """One chunk of queries of a cell, and the slice of members that streams past it."""
+
+    def __init__(self, tab, dim, bound, least, g, rows):
         self.tab, self.dim, self.bound, self.least, self.g = tab, dim, bound, least, g
         self.window = WINDOW * spread(dim, bound)
-        self.ids = None
+        self.ids, _, self.cells, self.x, self.p = self._parts(rows)
+        self.links = np.zeros(len(self.ids), np.int64)
+        self.edges: list[tuple[int, int]] = []
 
-    def _unit(self, raw):
+    def _parts(self, rows):
+        ids, mult, cells, raw = rows
         x = np.stack([np.frombuffer(v, np.float32 if len(v) == 4 * self.dim else np.float64) for v in raw]).astype(np.float64)
-        return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-    def start(self, ids, mult, cells, raw):
-        self.ids, self.mult, self.cells, self.x = ids, mult, cells, self._unit(raw)
-        self.p = (self.x @ self.g).astype(np.float32)
-        self.links = np.zeros(len(ids), np.int64)
-        self.root = np.arange(len(ids))
-        self.edges = []
-        self.past(ids, mult, cells, self.x, self.p, own=True)
-
-    def stream(self, ids, mult, cells, raw):
-        x = self._unit(raw)
-        self.past(ids, mult, cells, x, (x @ self.g).astype(np.float32))
-
-    def _find(self, i):
-        while self.root[i] != i:
-            self.root[i] = self.root[self.root[i]]
-            i = self.root[i]
-        return i
-
-    def past(self, ids, mult, cells, x, p, own=False):
-        hits = np.zeros((len(self.ids), len(ids)), np.uint8)
-        for j in range(p.shape[1]):
-            hits += np.abs(self.p[:, j, None] - p[None, :, j]) <= self.window
-        q, d = np.nonzero(hits >= self.least)
-        keep = self.ids[q] != ids[d]
-        q, d = q[keep], d[keep]
-        good = np.einsum("ij,ij->i", self.x[q], x[d]) >= self.bound
-        q, d = q[good], d[good]
-        if not len(q):
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        return np.asarray(ids), np.asarray(mult), np.stack([np.frombuffer(c, np.int32) for c in cells]), x, (x @ self.g).astype(np.float32)
+
+    def past(self, rows):
+        ids, mult, cells, x, p = self._parts(rows)
+        good = self.x @ x.T >= self.bound
+        some, those = np.flatnonzero(good.any(axis=1)), np.flatnonzero(good.any(axis=0))
+        if not len(some):
             return
-        fresh = ~(self.cells[q, : self.tab] == cells[d, : self.tab]).any(axis=1)
-        np.add.at(self.links, q[fresh], mult[d[fresh]])
-        q, d = q[fresh], d[fresh]  # an earlier table's forest holds the others
-        if own:
-            for a, b in zip(q.tolist(), d.tolist()):
-                if a < b:
-                    ra, rb = self._find(a), self._find(b)
-                    if ra != rb:
-                        self.root[max(ra, rb)] = min(ra, rb)
-                        self.edges.append((self.ids[a], self.ids[b]))
-        else:
-            order = np.argsort(d, kind="stable")
-            last, anchor = -1, -1
-            for a, b in zip(q[order].tolist(), d[order].tolist()):
-                if b != last:
-                    last, anchor = b, a
-                    self.edges.append((self.ids[a], ids[b]))
-                else:
-                    ra, rb = self._find(anchor), self._find(a)
-                    if ra != rb:
-                        self.root[max(ra, rb)] = min(ra, rb)
-                        self.edges.append((self.ids[a], ids[b]))
+        good = good[np.ix_(some, those)] & (self.ids[some][:, None] != ids[those])
+        hits = np.zeros(good.shape, np.uint8)
+        for j in range(p.shape[1]):
+            hits += np.abs(self.p[some, j][:, None] - p[those, j]) <= self.window
+        good &= hits >= self.least
+        for t in range(self.tab):  # an earlier table has counted pairs that share its cell
+            good &= self.cells[some, t][:, None] != cells[those, t]
+        self.links[some] += good @ mult[those]
+        for a, b, column in forest(good):
+            self.edges.append((int(self.ids[some[a]]), int(ids[those[b]] if column else self.ids[some[b]])))
 
     def rows(self):
         """(u, v, links): counts of the queries and a forest of their links."""
         some = np.flatnonzero(self.links)
-        u = [int(i) for i in self.ids[some]] + [int(a) for a, _ in self.edges]
-        v = [None] * len(some) + [int(b) for _, b in self.edges]
+        u = [int(i) for i in self.ids[some]] + [a for a, _ in self.edges]
+        v = [None] * len(some) + [b for _, b in self.edges]
         return u, v, [int(x) for x in self.links[some]] + [0] * len(self.edges)
 
 
-def _count(batches, dim, bound, n_tables):
+def _count(batches, dim, bound):
     least = needed_count(dim, bound)
     g = directions(dim, PROJECTIONS, SEED)
-    schema = ["u", "v", "links"]
-    key, group, head = None, None, []
-
-    def parts(rows):
-        ids, mult, cells, vec = zip(*rows)
-        return np.asarray(ids), np.asarray(mult), np.stack([np.frombuffer(c, np.int32) for c in cells]), vec
+    key, grid, head = None, None, ([], [], [], [])
 
     def begin():
-        nonlocal head
-        if head and group.ids is None:
-            group.start(*parts(head))
-            head = []
-
-    def close(out):
-        begin()
-        if group is not None and group.ids is not None:
-            for c, v in zip(out, group.rows()):
-                c.extend(v)
+        nonlocal grid
+        if grid is None and head[0]:
+            grid = _Grid(key[0], dim, bound, least, g, head)
 
     def batch(out):
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["u", "v", "links"])
 
     for b in batches:
         out = ([], [], [])
-        tab, cell, chunk, query = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        change = np.flatnonzero((np.diff(tab) != 0) | (np.diff(cell) != 0) | (np.diff(chunk) != 0) | (np.diff(query) != 0)) + 1
-        for lo, hi in zip([0, *change], [*change, len(tab)]):
-            k = (int(tab[lo]), int(cell[lo]), int(chunk[lo]))
+        tab, cell, chunk, part, query = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        change = np.zeros(max(0, len(tab) - 1), bool)
+        for c in (tab, cell, chunk, part, query):
+            change |= c[1:] != c[:-1]
+        cuts = np.flatnonzero(change) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(tab)]):
+            k = (int(tab[lo]), int(cell[lo]), int(chunk[lo]), int(part[lo]))
             if k != key:
-                close(out)
-                key, group, head = k, _Group(k[0], dim, bound, least, g), []
-            rows = list(zip(*(b.column(i).slice(lo, hi - lo).to_pylist() for i in range(4, 8))))
+                if grid is not None:
+                    for c, v in zip(out, grid.rows()):
+                        c.extend(v)
+                key, grid, head = k, None, ([], [], [], [])
+            rows = [b.column(i).slice(lo, hi - lo).to_pylist() for i in range(5, 9)]
             if query[lo]:
-                head.extend(rows)
+                for c, v in zip(head, rows):
+                    c.extend(v)
             else:
                 begin()
-                for i in range(0, len(rows), 2048):
-                    group.stream(*parts(rows[i : i + 2048]))
+                if grid is not None:
+                    grid.past(rows)
+        if out[0]:
+            yield batch(out)
+    if grid is not None:
+        out = grid.rows()
         if out[0]:
             yield batch(out)
-    out = ([], [], [])
-    close(out)
-    if out[0]:
-        yield batch(out)
 
 
-def dedup(vectors: DataFrame, bound=BOUND, id_col="vec_id", vec_col="embedding") -> DataFrame:
+def _links(part: DataFrame, dim: int, bound: float, recall: float) -> DataFrame:
+    """(u, v, links) of the classes ``part`` (id, n, x) of one length."""
+    spark = part.sparkSession
+    k, n_tables = tables(part.count(), dim, bound, recall)
+    hashed = common.staged(part.select("id", "n", "x").mapInArrow(common.tidied(lambda b: _hashed(b, dim, k, n_tables)), "id long, n long, cells binary, vec binary"), "hashed")
+    narrow = hashed.select("id", "cells").mapInArrow(common.tidied(_narrow), "tab int, cell int, id long")
+    crowd = narrow.groupBy("tab", "cell").agg(F.count("*").alias("m")).where("m > 1")
+    crowd = common.staged(crowd.select("tab", "cell", "m", F.ceil(F.col("m") / QUERIES).cast("int").alias("chunks"), F.ceil(F.col("m") / SLICE).cast("int").alias("slices")), "crowd")
+    size = crowd.agg(F.sum(F.col("m") * (F.col("chunks") + F.col("slices")))).first()[0] or 0
+    # the cells of a vector that others share, then the vector once for each
+    at = common.join_small(narrow, crowd, ["tab", "cell"])
+    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("slices")).cast("int")
+    asks = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda i: F.struct(own.alias("chunk"), i.alias("slice"), F.lit(True).alias("query")))
+    past = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda i: F.struct(i.alias("chunk"), mine.alias("slice"), F.lit(False).alias("query")))
+    at = at.select("id", F.explode(F.concat(asks, past)).alias("g"), "tab", "cell")
+    dealt = at.join(hashed, "id").select("tab", "cell", "g.chunk", "g.slice", "g.query", "id", "n", "cells", "vec")
+    dealt = dealt.repartition(common.parts(spark, size, TASK_ROWS), "tab", "cell", "chunk", "slice").sortWithinPartitions("tab", "cell", "chunk", "slice", F.desc("query"))
+    return dealt.mapInArrow(common.tidied(lambda b: _count(b, dim, bound)), "u long, v long, links long")
+
+
+def dedup(vectors: DataFrame, bound=BOUND, id_col="vec_id", vec_col="embedding", recall=RECALL) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row with an id."""
     spark = vectors.sparkSession
     common.configure(spark)
@@ -229,25 +268,16 @@ def dedup(vectors: DataFrame, bound=BOUND, id_col="vec_id", vec_col="embedding")
     fine = F.col("x").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
     rows = rows.withColumn("class", F.when(F.coalesce(fine, F.lit(False)), F.sha2(F.concat_ws(",", F.transform("x", lambda v: v.cast("string"))), 256)))
     rows = common.staged(rows, "vectors")
+    many = common.staged(rows.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id"), "repeated")
+    if not many.isEmpty():
+        once = common.join_small(rows, many, "id", "left_semi").groupBy("id").agg(F.min_by("x", "class").alias("x"), F.min("class").alias("class"))
+        rows = common.staged(common.join_small(rows, many, "id", "left_anti").unionByName(once), "vectors")
     sound = rows.where("class IS NOT NULL")
-    classes = common.staged(sound.groupBy("class").agg(F.min_by("id", "id").alias("id"), F.count("*").alias("n"), F.min_by("x", "id").alias("x")), "classes")
+    classes = sound.groupBy("class").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min_by("x", "id").alias("x"))
+    classes = common.staged(classes, "classes")
     dims = [r[0] for r in classes.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("n")).where("n > 1").select("d").collect()]  # vectors of one table have few lengths
-    found = None
-    for dim in dims:
-        part = classes.where(F.size("x") == dim)
-        k, n_tables = tables(part.count(), dim, bound)
-        cells = part.select("id", "n", "x").mapInArrow(lambda b, d=dim, k=k, t=n_tables: _cells(b, d, k, t, bound), "id long, n long, tab int, cell int, cells binary, vec binary")
-        crowd = part.select("id", "n", "x").mapInArrow(lambda b, d=dim, k=k, t=n_tables: (r.select(["tab", "cell"]) for r in _cells(b, d, k, t, bound)), "tab int, cell int").groupBy("tab", "cell").agg(F.count("*").alias("m")).where("m > 1")
-        crowd = common.staged(crowd.select("tab", "cell", F.ceil(F.col("m") / QUERIES).cast("int").alias("chunks")), "crowd")
-        dealt = cells.join(crowd, ["tab", "cell"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-        dealt = dealt.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        dealt = dealt.select("tab", "cell", "chunk", (F.col("own") == F.col("chunk")).alias("query"), "id", "n", "cells", "vec")
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        dealt = dealt.repartition(parts, "tab", "cell", "chunk").sortWithinPartitions("tab", "cell", "chunk", F.desc("query"))
-        got = dealt.mapInArrow(lambda b, d=dim, t=n_tables: _count(b, d, bound, t), "u long, v long, links long")
-        found = got if found is None else found.unionByName(got)
-    if found is None:
-        found = spark.createDataFrame([], "u long, v long, links long")
+    parts = [_links(classes.where(F.size("x") == dim), dim, bound, recall) for dim in dims]
+    found = functools.reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "u long, v long, links long")
     found = common.staged(found, "links")
     counts = found.groupBy("u").agg(F.sum("links").alias("links"))
     comps = connected_components(found.where("v IS NOT NULL").select("u", "v"))
