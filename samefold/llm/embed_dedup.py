@@ -44,8 +44,12 @@ RECALL = 0.999
 PROJECTIONS = 32
 #: Window half-width, in deviations of a bounding pair's difference.
 WINDOW = 2.5
-#: Queries and members that one task compares with each other in a cell.
-QUERIES, SLICE = 1024, 2048
+#: Queries and members of a crowded cell that are compared with each other in one go.
+QUERIES, SLICE = 512, 512
+#: Roles of a row in its group: both sides of a whole cell, or one side of a grid cell.
+BOTH, QUERY, PAST = 2, 1, 0
+#: Pairs checked at once, and rows of whole cells taken together.
+PAIRS, TOGETHER = 50_000, 4096
 #: Bytes of a counted cell row, and of a vector's row beside its components.
 NARROW, WIDE = 16, 100
 #: Vectors whose projections are computed at once.
@@ -155,88 +159,141 @@ def forest(linked: np.ndarray) -> list[tuple[int, int, bool]]:
     return out
 
 
-class _Grid:
-    """One chunk of queries of a cell, and the slice of members that streams past it."""
+class _Checker:
+    """Collision counts and cosines of pairs of members of cells."""
 
-    def __init__(self, tab, dim, bound, least, g, rows):
-        self.tab, self.dim, self.bound, self.least, self.g = tab, dim, bound, least, g
-        self.window = WINDOW * spread(dim, bound)
-        self.ids, _, self.cells, self.x, self.p = self._parts(rows)
-        self.links = np.zeros(len(self.ids), np.int64)
-        self.edges: list[tuple[int, int]] = []
+    def __init__(self, dim: int, bound: float):
+        self.dim, self.bound = dim, bound
+        self.g = directions(dim, PROJECTIONS, SEED)
+        self.least, self.window = needed_count(dim, bound), np.float32(WINDOW * spread(dim, bound))
 
-    def _parts(self, rows):
+    def members(self, rows):
+        """(ids, mult, cells, unit vectors, projections) of (id, n, cells, vec) columns."""
         ids, mult, cells, raw = rows
-        x = np.stack([np.frombuffer(v, np.float32 if len(v) == 4 * self.dim else np.float64) for v in raw]).astype(np.float64)
+        wide = [len(v) == 8 * self.dim for v in raw]
+        if not any(wide):
+            x = np.frombuffer(b"".join(raw), np.float32).reshape(-1, self.dim).astype(np.float64)
+        else:
+            x = np.stack([np.frombuffer(v, np.float64 if w else np.float32) for v, w in zip(raw, wide)]).astype(np.float64)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        return np.asarray(ids), np.asarray(mult), np.stack([np.frombuffer(c, np.int32) for c in cells]), x, (x @ self.g).astype(np.float32)
-
-    def past(self, rows):
-        ids, mult, cells, x, p = self._parts(rows)
-        good = self.x @ x.T >= self.bound
-        some, those = np.flatnonzero(good.any(axis=1)), np.flatnonzero(good.any(axis=0))
-        if not len(some):
-            return
-        good = good[np.ix_(some, those)] & (self.ids[some][:, None] != ids[those])
-        hits = np.zeros(good.shape, np.uint8)
-        for j in range(p.shape[1]):
-            hits += np.abs(self.p[some, j][:, None] - p[those, j]) <= self.window
-        good &= hits >= self.least
-        for t in range(self.tab):  # an earlier table has counted pairs that share its cell
-            good &= self.cells[some, t][:, None] != cells[those, t]
-        self.links[some] += good @ mult[those]
-        for a, b, column in forest(good):
-            self.edges.append((int(self.ids[some[a]]), int(ids[those[b]] if column else self.ids[some[b]])))
-
-    def rows(self):
-        """(u, v, links): counts of the queries and a forest of their links."""
-        some = np.flatnonzero(self.links)
-        u = [int(i) for i in self.ids[some]] + [a for a, _ in self.edges]
-        v = [None] * len(some) + [b for _, b in self.edges]
-        return u, v, [int(x) for x in self.links[some]] + [0] * len(self.edges)
+        return np.asarray(ids), np.asarray(mult), np.frombuffer(b"".join(cells), np.int32).reshape(len(x), -1), x, (x @ self.g).astype(np.float32)
+
+    def linked(self, left, right, tab, q, d):
+        """The pairs (q, d) that collide enough, were not counted in an earlier table, and verify."""
+        found = []
+        for lo in range(0, len(q), PAIRS):
+            i, j = q[lo : lo + PAIRS], d[lo : lo + PAIRS]
+            on = left[0][i] != right[0][j]
+            i, j = i[on], j[on]
+            on = (np.abs(left[4][i] - right[4][j]) <= self.window).sum(axis=1) >= self.least
+            i, j = i[on], j[on]
+            for t in range(int(tab[i].max(initial=0))):
+                on = (tab[i] <= t) | (left[2][i, t] != right[2][j, t])
+                i, j = i[on], j[on]
+            on = np.einsum("ij,ij->i", left[3][i], right[3][j]) >= self.bound
+            found.append((i[on], j[on]))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 2
+
+
+def _grid(check: _Checker, tab: int, head, streams, out):
+    """A chunk of queries of a crowded cell against the slice of members that streams past it."""
+    left = check.members(head)
+    n = len(left[0])
+    links = np.zeros(n, np.int64)
+    tabs = np.full(n, tab)
+    for rows in streams:
+        right = check.members(rows)
+        m = len(right[0])
+        step = max(1, PAIRS // m)
+        linked = np.zeros((n, m), bool)
+        for lo in range(0, n, step):
+            q = np.repeat(np.arange(lo, min(n, lo + step)), m)
+            i, j = check.linked(left, right, tabs, q, np.tile(np.arange(m), len(q) // m))
+            np.add.at(links, i, right[1][j])
+            linked[i, j] = True
+        for a, b, column in forest(linked):
+            out.append((int(left[0][a]), int(right[0][b] if column else left[0][b]), 0))
+    out.extend((int(left[0][i]), None, int(links[i])) for i in np.flatnonzero(links))
+
+
+def _cells(check: _Checker, tab, group, rows, out):
+    """Whole cells side by side; ``group`` numbers the rows' cells from 0 on, in order."""
+    part = check.members(rows)
+    sizes = np.bincount(group)
+    starts = np.cumsum(sizes) - sizes
+    per_row = sizes[group]
+    ends = np.cumsum(per_row)
+    links = np.zeros(len(group), np.int64)
+    hits = []
+    lo = 0
+    while lo < len(group):  # pairs of a run of rows at a time
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - per_row[lo] + PAIRS, side="right")))
+        n = per_row[lo:hi]
+        q = np.repeat(np.arange(lo, hi), n)
+        d = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[group[lo:hi]], n)
+        i, j = check.linked(part, part, tab, q, d)
+        np.add.at(links, i, part[1][j])
+        hits.append((i, j))
+        lo = hi
+    i, j = (np.concatenate(x) for x in zip(*hits))
+    at = np.searchsorted(group[i], np.arange(len(sizes) + 1))
+    for g in np.flatnonzero(np.diff(at)).tolist():
+        linked = np.zeros((sizes[g], sizes[g]), bool)
+        linked[i[at[g] : at[g + 1]] - starts[g], j[at[g] : at[g + 1]] - starts[g]] = True
+        ids = part[0][starts[g] : starts[g] + sizes[g]]
+        out.extend((int(ids[a]), int(ids[b]), 0) for a, b, _ in forest(linked) if a != b)
+    out.extend((int(part[0][i]), None, int(links[i])) for i in np.flatnonzero(links))
 
 
 def _count(batches, dim, bound):
-    least = needed_count(dim, bound)
-    g = directions(dim, PROJECTIONS, SEED)
-    key, grid, head = None, None, ([], [], [], [])
-
-    def begin():
-        nonlocal grid
-        if grid is None and head[0]:
-            grid = _Grid(key[0], dim, bound, least, g, head)
+    """(u, v, links) of rows in the order of (tab, cell, chunk, slice, falling role)."""
+    check = _Checker(dim, bound)
+    whole, rest = [], None  # whole cells to do together; rows of the group that is still open
+
+    def flush(out):
+        if whole:
+            tabs, sizes = zip(*((g[0], len(g[1][0])) for g in whole))
+            rows = [sum((g[1][c] for g in whole), []) for c in range(4)]
+            _cells(check, np.repeat(tabs, sizes), np.repeat(np.arange(len(sizes)), sizes), rows, out)
+            whole.clear()
+
+    def close(group, out):
+        key, roles = group
+        if BOTH in roles:
+            whole.append((key[0], roles[BOTH][0]))
+            if sum(len(g[1][0]) for g in whole) >= TOGETHER:
+                flush(out)
+        elif QUERY in roles and PAST in roles:
+            _grid(check, key[0], roles[QUERY][0], roles[PAST], out)
 
     def batch(out):
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["u", "v", "links"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["u", "v", "links"])
 
     for b in batches:
-        out = ([], [], [])
-        tab, cell, chunk, part, query = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-        change = np.zeros(max(0, len(tab) - 1), bool)
-        for c in (tab, cell, chunk, part, query):
+        out: list = []
+        keys = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        change = np.zeros(max(0, b.num_rows - 1), bool)
+        for c in keys:
             change |= c[1:] != c[:-1]
         cuts = np.flatnonzero(change) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(tab)]):
-            k = (int(tab[lo]), int(cell[lo]), int(chunk[lo]), int(part[lo]))
-            if k != key:
-                if grid is not None:
-                    for c, v in zip(out, grid.rows()):
-                        c.extend(v)
-                key, grid, head = k, None, ([], [], [], [])
-            rows = [b.column(i).slice(lo, hi - lo).to_pylist() for i in range(5, 9)]
-            if query[lo]:
-                for c, v in zip(head, rows):
-                    c.extend(v)
-            else:
-                begin()
-                if grid is not None:
-                    grid.past(rows)
-        if out[0]:
-            yield batch(out)
-    if grid is not None:
-        out = grid.rows()
-        if out[0]:
+        cols = [b.column(i).to_pylist() for i in range(5, 9)]
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+            key, role = tuple(int(c[lo]) for c in keys[:4]), int(keys[4][lo])
+            if rest is None or key != rest[0]:
+                if rest is not None:
+                    close(rest, out)
+                rest = (key, {})
+            parts = rest[1].setdefault(role, [[[], [], [], []]])
+            for c, v in zip(parts[0], cols):
+                c.extend(v[lo:hi])
+        if out:
             yield batch(out)
+    out = []
+    if rest is not None:
+        close(rest, out)
+    flush(out)
+    if out:
+        yield batch(out)
 
 
 def _links(part: DataFrame, dim: int, bound: float, recall: float) -> DataFrame:
@@ -252,11 +309,15 @@ def _links(part: DataFrame, dim: int, bound: float, recall: float) -> DataFrame:
     at = common.join_small(narrow, crowd, ["tab", "cell"])
     own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     mine = F.pmod(F.xxhash64("id", F.lit(1)), F.col("slices")).cast("int")
-    asks = F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda i: F.struct(own.alias("chunk"), i.alias("slice"), F.lit(True).alias("query")))
-    past = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda i: F.struct(i.alias("chunk"), mine.alias("slice"), F.lit(False).alias("query")))
-    at = at.select("id", F.explode(F.concat(asks, past)).alias("g"), "tab", "cell")
-    dealt = at.join(hashed, "id").select("tab", "cell", "g.chunk", "g.slice", "g.query", "id", "n", "cells", "vec")
-    dealt = dealt.repartition(common.parts(spark, size, TASK_ROWS), "tab", "cell", "chunk", "slice").sortWithinPartitions("tab", "cell", "chunk", "slice", F.desc("query"))
+
+    def role(chunk, part, what):
+        return F.struct(chunk.alias("chunk"), part.alias("slice"), F.lit(what).alias("role"))
+
+    grid = F.concat(F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda i: role(own, i, QUERY)), F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda i: role(i, mine, PAST)))
+    alone = (F.col("chunks") == 1) & (F.col("slices") == 1)
+    at = at.select("id", F.explode(F.when(alone, F.array(role(F.lit(0), F.lit(0), BOTH))).otherwise(grid)).alias("g"), "tab", "cell")
+    dealt = at.join(hashed, "id").select("tab", "cell", "g.chunk", "g.slice", "g.role", "id", "n", "cells", "vec")
+    dealt = dealt.repartition(common.parts(spark, size, TASK_ROWS), "tab", "cell", "chunk", "slice").sortWithinPartitions("tab", "cell", "chunk", "slice", F.desc("role"))
     return dealt.mapInArrow(common.tidied(lambda b: _count(b, dim, bound)), "u long, v long, links long")
 
 
