@@ -93,9 +93,9 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int
     return (mark.reshape(n, registers) >> np.uint64(32)).astype(np.uint32)
 
 
-def multisets(texts: pa.Array, memo=None):
+def multisets(texts: pa.Array):
     """(shingle hashes, owners, counts, word bounds, word hashes), sorted by owner and hash."""
-    words, wb = shingles.word_hashes(texts, memo)
+    words, wb = shingles.word_hashes(texts)
     h, sb = shingles.shingle_hashes(words, wb)
     owner = np.repeat(np.arange(len(texts)), np.diff(sb))
     order = np.lexsort((h, owner))
@@ -111,10 +111,9 @@ def sketch(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     common.configure(docs.sparkSession)
 
     def run(batches):
-        memo: dict = {}
         for b in batches:
             for lo, hi in slices(pc.binary_length(b.column(1))):
-                h, owner, w, wb, words = multisets(b.column(1).slice(lo, hi - lo), memo)
+                h, owner, w, wb, words = multisets(b.column(1).slice(lo, hi - lo))
                 some = np.diff(wb) > 0
                 if not some.any():
                     continue

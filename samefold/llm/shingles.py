@@ -19,30 +19,65 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: pa.Array, memo: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased words of all texts; bounds of each text."""
-    memo = {} if memo is None else memo
-    plain = pc.utf8_lower(texts.fill_null(""))
-    split = pc.utf8_split_whitespace(plain)
-    coded = split.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    if len(memo) > 200_000:
-        memo.clear()
-    got = []
-    for w in words:
-        h = memo.get(w)
-        if h is None:
-            h = memo[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        got.append(h)
-    table = np.asarray(got, np.uint64)
-    at = coded.indices.to_numpy()
-    bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
-    hashes = table[at] if len(table) else np.zeros(0, np.uint64)
-    if len(words) and "" in words:  # white space at either end leaves empty words
-        full = at != words.index("")
-        bounds = np.concatenate([[0], np.cumsum(full)])[bounds]
-        hashes = hashes[full]
-    return hashes, bounds
+#: White space beyond ASCII, as UTF-8 (fixed values): U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+WIDE_SPACES = tuple(chr(x).encode() for x in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_LEAD = np.zeros(256, bool)
+_LEAD[[w[0] for w in WIDE_SPACES]] = True
+_KEEP = np.asarray([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+#: Bytes of a word from which on it is hashed by itself.
+LONG_WORD = 256
+
+
+def _spaces(raw: np.ndarray) -> np.ndarray:
+    """Marks of the bytes that belong to white space."""
+    out = _SPACE[raw]
+    at = np.flatnonzero(_LEAD[raw])
+    if len(at):
+        tail = np.concatenate([raw, np.zeros(2, np.uint8)])
+        for w in WIDE_SPACES:
+            hit = at[(tail[at] == w[0]) & (tail[at + 1] == w[1])]
+            hit = hit[tail[hit + 2] == w[2]] if len(w) == 3 else hit
+            for k in range(len(w)):
+                out[hit + k] = True
+    return out
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the lower-cased words of all texts; bounds of each text.
+
+    Words are hashed side by side, eight bytes of each at a time.
+    """
+    plain = pc.utf8_lower(texts.fill_null("")).cast(pa.large_string())
+    n = len(plain)
+    edge = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + n + 1] if n else np.zeros(1, np.int64)
+    size = int(edge[-1] - edge[0])
+    if not size:
+        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
+    raw = np.frombuffer(plain.buffers()[2], np.uint8)[edge[0] : edge[-1]]
+    edge = edge - edge[0]
+    space = _spaces(raw)
+    open_, close = np.empty(size, bool), np.empty(size, bool)
+    open_[0] = close[-1] = True
+    open_[1:], close[:-1] = space[:-1], space[1:]
+    filled = edge[1:] > edge[:-1]
+    open_[edge[:-1][filled]] = True
+    close[edge[1:][filled] - 1] = True
+    start = np.flatnonzero(open_ & ~space)
+    length = np.flatnonzero(close & ~space) + 1 - start
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((size,), "<u8", padded.data, strides=(1,))
+    with np.errstate(over="ignore"):
+        h = mix(length.astype(np.uint64))
+        on, k = np.flatnonzero(length < LONG_WORD), 0
+        while len(on):
+            left = length[on] - k
+            h[on] = mix(h[on] ^ (eight[start[on] + k] & _KEEP[np.minimum(left, 8)]) * _MULT[0])
+            on, k = on[left > 8], k + 8
+    for i in np.flatnonzero(length >= LONG_WORD).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(raw[start[i] : start[i] + length[i]].tobytes())
+    return h, np.searchsorted(start, edge)
 
 
 def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width=WIDTH) -> tuple[np.ndarray, np.ndarray]:
