@@ -12,15 +12,18 @@ Documents with equal words are one class and represented by their smallest id.
 Representatives meet in bands of the signature.  In each bucket every member is
 compared with one centre, the member whose buckets are fullest: for a text and
 its edited copies that is the text.  Candidates are verified on the exact
-multisets and joined into components.  Then members of a
-bucket that still lie in different components are compared with each other, in
-growing rounds, until no untested candidate is left.  Nothing emits all pairs
-of a bucket, and nothing is capped.
+multisets and joined into components.  Then the members of a bucket that still lie
+in different components are compared with each other by fine sketches, a grid of
+``QUERIES`` by ``SLICE`` members at a time.  A member with few candidates in a grid
+cell sends them on as pairs; one with more, as in a family of pages that are just
+not similar enough, is verified where the bucket streams past, and only a forest
+of links leaves the task.  So no bucket sends on its pairs, and nothing is capped.
 
 Defined results: texts without words (null, empty, blank) link with nothing;
 a text of fewer than five words is one shingle; rows with equal ids are one
-document; rows with a null id are kept and link with nothing; an empty table
-gives an empty result; other columns are ignored.
+document, with the least of their texts, and give one row; rows with a null id are
+kept by ``drop_near_duplicates`` and link with nothing; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,10 +47,12 @@ SIMILARITY = 0.8
 SLACK = 3.0
 #: Registers and slack of the sketch for members that one centre did not settle.
 FINE, FINE_SLACK = 1024, 4.0
-#: Members that one task compares with their bucket.
-QUERIES = 512
-#: Ids that may be broadcast to fetch the texts of candidates.
-BROADCAST_IDS = 1_000_000
+#: Members of a bucket that are compared with each other in one go.
+QUERIES, SLICE = 512, 512
+#: Candidates in a grid cell that one member may send on as pairs.
+FEW = 8
+#: Rows that one task of the comparison gets.
+TASK_ROWS = 50_000
 
 
 def least_agreement(similarity=SIMILARITY, registers=REGISTERS, slack=SLACK) -> int:
@@ -106,9 +111,9 @@ def multisets(texts: pa.Array):
     return h[at], owner[at], np.diff(np.append(at, len(h))), wb, words
 
 
-def sketch(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, digest, sig) of every document with words and an id."""
-    common.configure(docs.sparkSession)
+def sketch(src: DataFrame) -> DataFrame:
+    """(doc_id, digest, sig) of every text (doc_id, text) with words."""
+    common.configure(src.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -122,7 +127,6 @@ def sketch(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
                 dig = [xxhash.xxh3_128_digest(words[a:z].tobytes()) for a, z in zip(wb[:-1][some], wb[1:][some])]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo).filter(pa.array(some)), pa.array(dig, pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())], ["doc_id", "digest", "sig"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id IS NOT NULL")
     return src.mapInArrow(common.tidied(run), "doc_id long, digest binary, sig binary")
 
 
@@ -184,57 +188,39 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return both.select("a", "b", "ta", "tb").mapInArrow(common.tidied(run), "u long, v long")
 
 
-def _texts(docs: DataFrame, ids: DataFrame, id_col, text_col) -> DataFrame:
-    ids = ids.distinct()
-    small = ids.count() <= BROADCAST_IDS
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    got = src.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    return common.staged(got.dropDuplicates(["doc_id"]) if not small else got, "texts")
-
-
 def near_duplicates(docs: DataFrame, similarity=SIMILARITY, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, group_id, kept) of every document with an id."""
-    spark = docs.sparkSession
-    sk = common.staged(sketch(docs, id_col, text_col), "sketch")
-    member = common.staged(sk.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sk.join(member.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_d")), "doc_id").where("digest = _d").select("doc_id", "sig")
+    """(doc_id, group_id, kept) of every id."""
+    src = common.one_text(docs, id_col, text_col)
+    sk = common.staged(sketch(src), "sketch")
+    many = common.staged(sk.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n"), "classes")
+    copies = common.staged(common.join_small(sk.select("doc_id", "digest"), many, "digest").where("doc_id <> rep").select("doc_id", "rep"), "copies")
+    reps = common.join_small(sk.select("doc_id", "sig"), copies.select("doc_id"), "doc_id", "left_anti")
     bands = common.staged(band_rows(reps), "bands")
-    sizes = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = common.staged(bands.join(sizes, ["band", "key"]), "shared")
-    popular = shared.groupBy("doc_id").agg(F.sum("n").alias("popularity"))
-    shared = shared.join(popular, "doc_id").select("band", "key", "doc_id", "popularity")
-    shared = common.staged(shared, "popular")
-    centres = shared.groupBy("band", "key").agg(F.max(F.struct("popularity", "doc_id"))["doc_id"].alias("centre"))
-    crowded = common.staged(shared.join(centres, ["band", "key"]), "crowded")
+    sizes = common.staged(bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    shared = common.staged(common.join_small(bands, sizes, ["band", "key"]), "shared")
+    common.dispose(bands)
+    popular = common.staged(shared.groupBy("doc_id").agg(F.sum("n").alias("popularity")), "popular")
+    shared = common.join_small(shared.drop("n"), popular, "doc_id")
+    centres = common.staged(shared.groupBy("band", "key").agg(F.max(F.struct("popularity", "doc_id"))["doc_id"].alias("centre")), "centres")
+    crowded = common.staged(common.join_small(shared, centres, ["band", "key"]).drop("popularity"), "crowded")
     stars = crowded.where("doc_id <> centre").select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
-    sig = common.staged(reps.join(crowded.select("doc_id").distinct(), "doc_id", "left_semi"), "signatures")
-    candidates = common.staged(_agreement(stars, sig), "candidates")
-    texts = _texts(docs, crowded.select("doc_id"), id_col, text_col)
-
-    tried = common.staged(candidates.select("a", "b"), "tried")
+    sig = common.staged(common.join_small(reps, popular.select("doc_id"), "doc_id", "left_semi"), "signatures")
+    tried = common.staged(_agreement(stars, sig).select("a", "b"), "tried")
+    texts = common.staged(common.join_small(src, popular.select("doc_id"), "doc_id", "left_semi"), "texts")
     links = common.staged(_verified(tried, texts, similarity), "links")
     comps = common.staged(connected_components(links), "components")
-    width = 16
-    while True:
-        cross = common.staged(_cross_pairs(crowded, comps, texts, tried), "cross")
-        if cross.isEmpty():
-            break
-        some = cross.withColumn("r", F.row_number().over(W.partitionBy("x").orderBy(F.desc("agree"), "a", "b"))).where(F.col("r") <= width).select("a", "b")
-        some = common.staged(some, "tried")
-        tried = tried.unionByName(some)
-        more = common.staged(_verified(some, texts, similarity), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            comps = common.staged(connected_components(links), "components")
-        width *= 16
-    group = sk.select("doc_id", "digest").join(member, "digest").join(comps.toDF("rep", "component"), "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("group_id"))
-    ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    out = ids.join(group, "doc_id", "left").withColumn("group_id", F.coalesce("group_id", "doc_id"))
+    more = _cross_links(crowded, comps, texts, tried, similarity)
+    if more is not None:
+        comps = common.staged(connected_components(links.unionByName(more)), "components")
+    for old in (shared, crowded, sig, texts, tried):
+        common.dispose(old)
+    out = common.join_small(src.select("doc_id"), copies, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    out = common.join_small(out, comps.toDF("rep", "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("group_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("group_id"))
 
 
 def _fine_sketch(texts: DataFrame) -> DataFrame:
-    """(doc_id, sig, fine): the band registers and a byte each of ``FINE`` others."""
+    """(doc_id, sig, fine, set): the band registers, a byte each of ``FINE`` others, the multiset."""
 
     def run(batches):
         for b in batches:
@@ -242,70 +228,154 @@ def _fine_sketch(texts: DataFrame) -> DataFrame:
                 h, owner, w, _, _ = multisets(b.column(1).slice(lo, hi - lo))
                 sig = signatures(h, owner, w, hi - lo)
                 fine = signatures(h, owner, w, hi - lo, FINE).astype(np.uint8)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (sig, fine))], ["doc_id", "sig", "fine"])
+                at = np.searchsorted(owner, np.arange(hi - lo + 1))
+                sets = [h[x:y].tobytes() + w[x:y].astype(np.int32).tobytes() for x, y in zip(at, at[1:])]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (sig, fine)), pa.array(sets, pa.binary())], ["doc_id", "sig", "fine", "bag"])
+
+    return texts.select("doc_id", "text").mapInArrow(common.tidied(run), "doc_id long, sig binary, fine binary, bag binary")
+
+
+def _bag(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(raw) // 12
+    return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.int32, n, 8 * n)
+
+
+def _similar(a, b, similarity: float) -> bool:
+    _, p, q = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    both = int(np.minimum(a[1][p], b[1][q]).sum())
+    return both >= similarity * (int(a[1].sum()) + int(b[1].sum()) - both)
+
+
+def _grid(rows: DataFrame) -> DataFrame:
+    """``rows`` (band, key, doc_id, ..., asks, chunks, slices) once for every grid cell they belong to."""
+    own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    mine = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("slices")).cast("int")
 
-    return texts.select("doc_id", "text").mapInArrow(common.tidied(run), "doc_id long, sig binary, fine binary")
+    def cell(chunk, part, query):
+        return F.struct(chunk.alias("chunk"), part.alias("slice"), F.lit(query).alias("query"))
 
+    asks = F.when(F.col("asks"), F.transform(F.sequence(F.lit(0), F.col("slices") - 1), lambda i: cell(own, i, True))).otherwise(F.array().cast("array<struct<chunk:int,slice:int,query:boolean>>"))
+    past = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda i: cell(i, mine, False))
+    return rows.withColumn("at", F.explode(F.concat(asks, past))).select("*", "at.*").drop("at", "chunks", "slices", "asks")
 
-def _cross_pairs(crowded: DataFrame, comps: DataFrame, texts: DataFrame, tried: DataFrame) -> DataFrame:
-    """Untested candidates of one bucket that lie in different components.
+
+def _cells(batches, width: int):
+    """((band, key), queries, members) of each grid cell; rows arrive in order, queries first."""
+    now, rows = None, ([], [])
+    for b in batches:
+        key = list(zip(*(b.column(i).to_pylist() for i in range(4))))
+        query = b.column(4).to_pylist()
+        values = list(zip(*(b.column(i).to_pylist() for i in range(5, 5 + width))))
+        for k, q, v in zip(key, query, values):
+            if k != now:
+                if rows[0] and rows[1]:
+                    yield now[:2], *rows
+                now, rows = k, ([], [])
+            rows[not q].append(v)
+    if rows[0] and rows[1]:
+        yield now[:2], *rows
+
+
+def _near(band: int, queries, members, least: int):
+    """For every query: the members of other components whose fine sketches agree enough,
+    that stand behind it or at home, and that it meets in no earlier band."""
+    def arrays(rows):
+        doc, comp, home, sig, fine = (list(c) for c in zip(*(r[:5] for r in rows)))
+        return np.asarray(doc), np.asarray(comp), np.asarray(home), np.frombuffer(b"".join(sig), np.uint32).reshape(-1, BANDS, ROWS), np.frombuffer(b"".join(fine), np.uint8).reshape(-1, FINE)
+
+    doc, comp, home, sig, fine = arrays(members)
+    for i, (x, cx, _, sx, fx) in enumerate(zip(*arrays(queries))):
+        ok = np.flatnonzero((comp != cx) & ((comp == home) | (x < doc)))
+        ok = ok[(fine[ok] == fx).sum(axis=1) >= least]
+        first = (sig[ok] == sx).all(axis=2).argmax(axis=1) == band
+        yield i, int(x), doc, ok[first]
+
+
+def _cross_links(crowded: DataFrame, comps: DataFrame, texts: DataFrame, tried: DataFrame, similarity: float) -> DataFrame | None:
+    """Links between members of one bucket that lie in different components, as a forest.
 
     Only members outside the bucket's largest component look for partners, so a
-    bucket that one component fills costs nothing.  They are dealt in chunks of
-    ``QUERIES``; the bucket streams past each chunk, and only pairs whose fine
-    sketches agree enough come out, each from the first band that they share.
+    bucket that one component fills costs nothing.
     """
-    rows = crowded.select("band", "key", "doc_id").join(comps.toDF("doc_id", "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    spark = crowded.sparkSession
+    rows = common.join_small(crowded.select("band", "key", "doc_id"), comps.toDF("doc_id", "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     sizes = rows.groupBy("band", "key", "component").agg(F.count("*").alias("n"))
     best = F.max(F.struct("n", "component"))
-    mixed = sizes.groupBy("band", "key").agg(best["component"].alias("home"), F.count("*").alias("kinds"), (F.sum("n") - best["n"]).alias("apart")).where("kinds > 1")
-    mixed = mixed.select("band", "key", "home", F.ceil(F.col("apart") / QUERIES).cast("int").alias("chunks"))
-    rows = common.staged(rows.join(mixed, ["band", "key"]), "mixed")
-    fine = common.staged(_fine_sketch(texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi")), "fine")
-    own = F.struct(F.lit(True).alias("query"), F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("chunk"))
-    past = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: F.struct(F.lit(False).alias("query"), c.alias("chunk")))
-    dealt = rows.withColumn("at", F.explode(F.when(F.col("component") == F.col("home"), past).otherwise(F.concat(F.array(own), past)))).select("band", "key", "at.chunk", "at.query", "doc_id", "component", "home")
-    dealt = dealt.join(fine, "doc_id").select("band", "key", "chunk", "query", "doc_id", "component", "home", "sig", "fine")
-    parts = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "band", "key", "chunk").sortWithinPartitions("band", "key", "chunk", F.desc("query"))
+    mixed = sizes.groupBy("band", "key").agg(best["component"].alias("home"), F.count("*").alias("kinds"), (F.sum("n") - best["n"]).alias("apart"), F.sum("n").alias("n")).where("kinds > 1")
+    mixed = common.staged(mixed.select("band", "key", "home", "apart", "n", F.ceil(F.col("apart") / QUERIES).cast("int").alias("chunks"), F.ceil(F.col("n") / SLICE).cast("int").alias("slices")), "mixed")
+    total = mixed.agg(F.sum(F.col("n") * F.col("chunks") + F.col("apart") * F.col("slices"))).first()[0]
+    if not total:
+        return None
+    rows = common.staged(common.join_small(rows, mixed.drop("apart", "n"), ["band", "key"]).withColumn("asks", F.col("component") != F.col("home")), "members")
+    fine = common.staged(_fine_sketch(common.join_small(texts, rows.select("doc_id").distinct(), "doc_id", "left_semi")), "fine")
     least = least_agreement(registers=FINE, slack=FINE_SLACK)
-
-    def run(batches):
-        key, held = None, []
-        for b in batches:
-            band, k, chunk, query, doc, comp, home = (b.column(i).to_numpy(zero_copy_only=False) for i in range(7))
-            sig = np.frombuffer(b"".join(b.column(7).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS)
-            fine = np.frombuffer(b"".join(b.column(8).to_pylist()), np.uint8).reshape(-1, FINE)
-            cut = np.flatnonzero((np.diff(band) != 0) | (np.diff(k) != 0) | (np.diff(chunk) != 0) | (np.diff(query) != 0)) + 1
-            xs, ys, agree = [], [], []
-            for lo, hi in zip([0, *cut], [*cut, len(band)]):
-                now = (int(band[lo]), int(k[lo]), int(chunk[lo]))
-                if now != key:
-                    key, held = now, []
-                if query[lo]:
-                    held.extend((doc[i], comp[i], sig[i], fine[i]) for i in range(lo, hi))
-                    continue
-                part = slice(lo, hi)
-                for x, cx, sx, fx in held:
-                    ok = np.flatnonzero((comp[part] != cx) & ((comp[part] == home[part]) | (x < doc[part])))
-                    n = (fine[part][ok] == fx).sum(axis=1)
-                    near = n >= least
-                    ok, n = ok[near], n[near]
-                    shared = (sig[part][ok] == sx).all(axis=2)
-                    first = shared.argmax(axis=1) == key[0]
-                    xs.extend([x] * int(first.sum()))
-                    ys.extend(doc[part][ok[first]].tolist())
-                    agree.extend(n[first].tolist())
-            if xs:
-                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.int64()), pa.array(ys, pa.int64()), pa.array(agree, pa.int32())], ["x", "y", "agree"])
-
-    found = dealt.mapInArrow(common.tidied(run), "x long, y long, agree int")
-    pairs = found.select("x", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "agree").dropDuplicates(["a", "b"])
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    order = ["band", "key", "chunk", "slice"]
+
+    def dealt(rows, *more, parts):
+        got = _grid(rows).join(fine.select("doc_id", "sig", "fine", *more), "doc_id").select(*order, "query", "doc_id", "component", "home", "sig", "fine", *more)
+        return got.repartition(parts, *order).sortWithinPartitions(*order, F.desc("query"))
+
+    def candidates(batches):
+        """(band, key, x, y) of few candidates, (band, key, x, null) of a query that has many."""
+        for (band, key), queries, members in _cells(batches, 5):
+            out = []
+            for _, x, doc, near in _near(band, queries, members, least):
+                out += [(band, key, x, int(doc[j])) for j in near] if len(near) <= FEW else [(band, key, x, None)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["band", "key", "x", "y"])
+
+    found = common.staged(dealt(rows, parts=common.parts(spark, total, TASK_ROWS)).mapInArrow(common.tidied(candidates), "band int, key long, x long, y long"), "cross")
+    pairs = found.where("y IS NOT NULL").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = common.staged(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = common.staged(_verified(pairs, texts, similarity), "links")
+    dense = common.staged(found.where("y IS NULL").select("band", "key", F.col("x").alias("doc_id")).distinct(), "dense")
+    if dense.isEmpty():
+        return links
+    many = dense.groupBy("band", "key").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks"))
+    again = common.join_small(rows.drop("asks", "chunks"), many, ["band", "key"])
+    again = common.staged(common.join_small(again, dense.withColumn("asks", F.lit(True)), ["band", "key", "doc_id"], "left").fillna(False, ["asks"]), "members")
+    total = again.agg(F.sum(F.col("chunks") + F.when(F.col("asks"), F.col("slices")).otherwise(0))).first()[0]
+
+    def verified(batches):
+        for (band, _), queries, members in _cells(batches, 6):
+            root: dict[int, int] = {}
+
+            def find(i, root=root):
+                while root.setdefault(i, i) != i:
+                    root[i] = root[root[i]]
+                    i = root[i]
+                return i
+
+            us, vs = [], []
+            bags = [None] * len(members)
+            for i, x, doc, near in _near(band, queries, members, least):
+                mine = _bag(queries[i][5])
+                for j in near.tolist():
+                    y = int(doc[j])
+                    if find(x) == find(y):
+                        continue
+                    if bags[j] is None:
+                        bags[j] = _bag(members[j][5])
+                    if _similar(mine, bags[j], similarity):
+                        root[find(x)] = find(y)
+                        us.append(x)
+                        vs.append(y)
+            if us:
+                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    more = dealt(again, "bag", parts=common.parts(spark, total, TASK_ROWS // 4)).mapInArrow(common.tidied(verified), "u long, v long")
+    return links.unionByName(common.staged(more, "links"))
 
 
 def drop_near_duplicates(docs: DataFrame, similarity=SIMILARITY, id_col="doc_id", text_col="text") -> DataFrame:
-    """``docs`` with one document of each group, the one of smallest id."""
-    gone = near_duplicates(docs, similarity, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone"))
-    small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """``docs`` with one document of each group, the one of smallest id, in one row an id."""
+    gone = common.staged(near_duplicates(docs, similarity, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_gone")), "gone")
+    small = common.few(gone)
+    left = docs.join(F.broadcast(gone) if small else gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    many = common.repeated_ids(docs, id_col).withColumnRenamed("doc_id", "_many")
+    if many.isEmpty():
+        return left
+    marked = left.join(F.broadcast(many) if common.few(many) else many, F.col(id_col).cast("long") == F.col("_many"), "left")
+    rank = F.row_number().over(W.partitionBy("_many").orderBy(F.coalesce(F.col(text_col), F.lit(""))))
+    once = marked.where("_many IS NOT NULL").withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return marked.where("_many IS NULL").unionByName(once).select(*docs.columns)

@@ -92,11 +92,17 @@ def join_small(left: DataFrame, right: DataFrame, keys, how="inner", rows=BROADC
     return left.join(F.broadcast(right) if few(right, rows) else right, keys, how)
 
 
+def repeated_ids(docs: DataFrame, id_col="doc_id") -> DataFrame:
+    """(doc_id) of ids that several rows have, staged."""
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL")
+    return staged(ids.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id"), "repeated")
+
+
 def one_text(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, text) with one row an id, null ids left out; an id with several texts
     stands for the least of them, a null text for an empty one."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("doc_id IS NOT NULL")
-    many = staged(src.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id"), "repeated")
+    many = repeated_ids(docs, id_col)
     if many.isEmpty():
         return src
     once = join_small(src, many, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
