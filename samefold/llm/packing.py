@@ -2,15 +2,22 @@
 
 The histogram has at most ``capacity`` distinct lengths whatever the corpus
 size, so the covering program (one variable per way to fill a sequence) is
-solved on the driver: multiplicative weights keep a price per length class, a
-knapsack dynamic program finds the most valuable fill, and the fractional
-counts are rounded down.  What the rounding leaves is placed best-fit, still
-by histogram counts.  The plan is a bounded table of rank intervals; every
-piece finds its place from its rank among the pieces of its length.
+solved on the driver: multiplicative weights keep a price per length class, one
+pass of a knapsack dynamic program prices every room, which gives the most
+valuable fill around each class, and a round buys these fills for the classes
+that lag.  The fractional counts are rounded down.  A sequence of the plan takes
+the exact lengths of its classes so that it is full, or goes without its last
+piece and stays open.  What the rounding leaves is placed best-fit, still by
+histogram counts, into the open sequences first.  A price of length over capacity
+is feasible for the dual, so all tokens over the capacity are a lower bound; if a
+plan does not meet it, less of the program is kept, down to none, and the best
+plan counts.  The plan is a bounded table of rank intervals; every piece finds its
+place from its rank among the pieces of its length.
 
 Defined results: a null or empty text is one piece holding only the end id; a
 document longer than ``capacity`` is cut into full pieces and a last shorter
-one; repeated rows are packed once per row; null ids are kept as null; an
+one; pieces of equal length are interchangeable and ranked by document and piece;
+repeated rows are packed once per row; null ids are kept as null; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -30,13 +37,16 @@ from samefold.llm import common, tokens
 
 CAPACITY = 4096
 END_ID = 1
-#: Width of a length class in the program; rounding works on exact lengths.
-CLASS_WIDTH = 4
+#: Width of a length class in the program, and the number of lengths up to which each is
+#: a class of its own; sequences take exact lengths.
+CLASS_WIDTH, EXACT_KINDS = 8, 600
 #: Pieces up to this share of the capacity stay out of the program and fill the
 #: room it leaves, as in the asymptotic schemes for bin packing.
 SMALL_SHARE = 8
-#: Pricing rounds of the multiplicative-weights solver and its step size.
-ROUNDS, STEP = 1500, 0.25
+#: Rounds of the multiplicative-weights solver and its step size.
+ROUNDS, STEP = 24, 0.25
+#: Parts of the program's counts that are kept, in the order they are tried.
+KEPT = (1.0, 0.7, 0.4, 0.2, 0.1, 0.03, 0.0)
 #: Pieces ranked together; a length with more is split into salted parts.
 RANK_GROUP = 128
 
@@ -66,88 +76,116 @@ def token_pieces(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAP
     return src.mapInArrow(common.tidied(cut), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _price(value: np.ndarray, units: np.ndarray, room: int) -> list[int]:
-    """Unbounded knapsack: indexes of the classes in the most valuable fill."""
+def _price(value: np.ndarray, units: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack over all rooms: value of the best fill, and its last class (-1: a unit stays empty)."""
     best = np.zeros(room + 1)
     pick = np.full(room + 1, -1)
-    order = np.argsort(units)
-    u, v = units[order], value[order]
-    upto = np.searchsorted(u, np.arange(room + 1), side="right")
+    upto = np.searchsorted(units, np.arange(room + 1), side="right")
     for c in range(1, room + 1):
         n = upto[c]
+        best[c] = best[c - 1]
         if n:
-            gain = best[c - u[:n]] + v[:n]
+            gain = best[c - units[:n]] + value[:n]
             k = int(gain.argmax())
-            if gain[k] > best[c - 1]:
+            if gain[k] > best[c]:
                 best[c], pick[c] = gain[k], k
-                continue
-        best[c] = best[c - 1]
-    out, c = [], room
+    return best, pick
+
+
+def _fill(pick: np.ndarray, units: np.ndarray, first: int, room: int) -> list[int]:
+    """Classes of the most valuable fill that holds the class ``first``."""
+    out, c = [first], room - int(units[first])
     while c > 0:
         if pick[c] < 0:
             c -= 1
         else:
-            out.append(int(order[pick[c]]))
-            c -= int(u[pick[c]])
+            out.append(int(pick[c]))
+            c -= int(units[pick[c]])
     return out
 
 
-def configurations(units: np.ndarray, demand: np.ndarray, room: int, rounds=ROUNDS, step=STEP) -> list[tuple[dict[int, int], float]]:
-    """Fractional cover of ``demand`` by fills of ``room`` units.
+def configurations(units: np.ndarray, demand: np.ndarray, room: int, rounds=ROUNDS, step=STEP) -> dict[tuple[int, ...], float]:
+    """Fractional cover of ``demand`` by fills of ``room`` units; ``units`` ascend.
 
-    Each round buys the fill that the prices value most, as much of it as
-    saturates its scarcest class, and lowers the price of what it covers.
+    After each round every class is covered to the round's share.  Prices fall
+    with what covers a class, and a fill is bought until its scarcest class is
+    two rounds ahead, so prices and cover move together.
     """
     n = len(units)
     load = np.zeros(n)
-    total: dict[tuple, float] = {}
-    for _ in range(rounds if n else 0):
-        price = np.exp(-(load - load.min()) / step) / demand
-        fill = _price(price, units, room)
-        if not fill:
-            break
-        kinds, counts = np.unique(fill, return_counts=True)
-        counts = np.minimum(counts, np.maximum(1, np.floor(demand[kinds]))).astype(int)
-        amount = float((demand[kinds] / counts).min()) * step
-        load[kinds] += amount * counts / demand[kinds]
-        key = tuple(zip(kinds.tolist(), counts.tolist()))
-        total[key] = total.get(key, 0.0) + amount
-    scale = max(float(load.min(initial=np.inf)), 1e-12)
-    return [(dict(k), x / scale) for k, x in total.items()]
+    total: dict[tuple[int, ...], float] = {}
+    for r in range(1, rounds + 1 if n else 1):
+        price = units / room * np.exp(-(load * rounds - (r - 1)) * step)
+        _, pick = _price(price, units, room)
+        for first in range(n - 1, -1, -1):
+            while load[first] < r / rounds - 1e-9:
+                kinds, counts = np.unique(_fill(pick, units, first, room), return_counts=True)
+                ahead = np.maximum((r + 1) / rounds - load[kinds], 0) * demand[kinds] / counts
+                lag = (r / rounds - load[first]) * demand[first] / counts[kinds == first][0]
+                amount = float(min(ahead.min(), lag))
+                if amount <= 1e-9 * lag:  # a companion is far ahead: the class alone
+                    kinds, counts = np.asarray([first]), np.asarray([room // int(units[first])])
+                    amount = float((r / rounds - load[first]) * demand[first] / counts[0])
+                load[kinds] += amount * counts / demand[kinds]
+                key = tuple(np.repeat(kinds, counts)[::-1].tolist())
+                total[key] = total.get(key, 0.0) + amount
+    return total
 
 
-def plan(histogram: dict[int, int], capacity=CAPACITY, width=CLASS_WIDTH, rounds=ROUNDS, small_share=SMALL_SHARE) -> tuple[np.ndarray, int]:
-    """Rank intervals (length, rank_from, count, first_sequence, offset), sequences used."""
-    left = {int(k): int(v) for k, v in histogram.items() if v > 0}
+def _sequences(found, by_class, classes, left, kept, capacity):
+    """(copies, lengths) of the kept part of the program; takes them out of ``left``."""
     groups: list[tuple[int, list[int]]] = []
-    by_class: dict[int, list[int]] = {}
-    for length in sorted(x for x in left if x * small_share > capacity):
-        by_class.setdefault(-(-length // width), []).append(length)
-    classes = sorted(by_class)
-    units = np.asarray(classes, dtype=int)
-    demand = np.asarray([sum(left[x] for x in by_class[c]) for c in classes], dtype=float)
-    found = configurations(units, demand, capacity // width, rounds)
-    for fill, x in sorted(found, key=lambda p: -p[1]):
-        copies = int(x)
+    pools = {c: [x for x in by_class[c] if left[x]] for c in classes}
+    for fill, x in sorted(found.items(), key=lambda p: (-p[1], p[0])):
+        copies = int(x * kept + 1e-9)
         while copies > 0:
-            lengths, need = [], {}
-            for k, n in fill.items():
-                pool = by_class[classes[k]]
-                for _ in range(n):
-                    while pool and left[pool[-1]] - need.get(pool[-1], 0) <= 0 and left[pool[-1]] == 0:
-                        pool.pop()
-                    got = next((y for y in reversed(pool) if left[y] > need.get(y, 0)), None)
-                    if got is not None:
-                        need[got] = need.get(got, 0) + 1
-                        lengths.append(got)
-            if len(lengths) < sum(fill.values()):
+            need: dict[int, int] = {}
+            lengths: list[int] = []
+            for k in fill[:-1]:
+                pool = pools[classes[k]]
+                while pool and not left[pool[-1]]:
+                    pool.pop()
+                got = next((y for y in reversed(pool) if left[y] > need.get(y, 0)), None)
+                if got is None or sum(lengths) + got > capacity:
+                    break
+                need[got] = need.get(got, 0) + 1
+                lengths.append(got)
+            else:
+                rest = capacity - sum(lengths)
+                if left.get(rest, 0) > need.get(rest, 0):  # full to the last token
+                    need[rest] = need.get(rest, 0) + 1
+                    lengths.append(rest)
+            if len(lengths) < max(1, len(fill) - 1):
                 break  # a class has run out: the rest is placed best-fit
             take = min(copies, *(left[y] // m for y, m in need.items()))
             for y, m in need.items():
                 left[y] -= take * m
             groups.append((take, lengths))
             copies -= take
-    groups = _best_fit(groups, left, capacity)
+    return groups
+
+
+def plan(histogram: dict[int, int], capacity=CAPACITY, width: int | None = None, rounds=ROUNDS, small_share=SMALL_SHARE) -> tuple[np.ndarray, int]:
+    """Rank intervals (length, rank_from, count, first_sequence, offset), sequences used."""
+    start = {int(k): int(v) for k, v in histogram.items() if v > 0}
+    bound = -(-sum(k * v for k, v in start.items()) // capacity)
+    by_class: dict[int, list[int]] = {}
+    large = [x for x in start if x * small_share > capacity]
+    width = width or (1 if len(large) <= EXACT_KINDS else CLASS_WIDTH)
+    for length in sorted(large):
+        by_class.setdefault(-(-length // width), []).append(length)
+    classes = sorted(by_class)
+    demand = np.asarray([sum(start[x] for x in by_class[c]) for c in classes], dtype=float)
+    found = configurations(np.asarray(classes, dtype=int), demand, capacity // width, rounds)
+    groups, used = [], None
+    for kept in KEPT:
+        left = dict(start)
+        got = _best_fit(_sequences(found, by_class, classes, left, kept, capacity), left, capacity)
+        n = sum(copies for copies, _ in got)
+        if used is None or n < used:
+            groups, used = got, n
+        if used <= bound:
+            break
     rows, rank, seq = [], {}, 0
     for copies, lengths in groups:
         at = 0
