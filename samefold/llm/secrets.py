@@ -4,12 +4,15 @@ Every version of every path is addressed by the SHA-256 of its text.  The
 ledger records which rule versions have scanned which blob and what they found.
 A run scans each unseen (blob, rule version) pair once, whatever number of
 paths hold the blob, appends to the ledger and joins findings back to all
-paths.  Everything runs as DataFrame expressions.
+paths.  Findings carry the version of their rule: a new version takes the place of
+the old one, whose findings no longer count.  Everything runs as DataFrame
+expressions.
 
 Spans are code-point offsets, end exclusive.  A rule's matches are leftmost and
 non-overlapping; those failing its length are dropped after matching.  Offsets
 come from cutting a text at the rule's matches: lengths of the pieces between
-them and of the matches add up.
+them and of the matches add up, as a running sum over the matches as rows, so that a
+very long text with very many matches takes time in proportion.
 
 Defined results: a null text is an empty text without findings; repeated rows
 each get the findings of their blob; null ids are kept; an empty table gives an
@@ -22,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from samefold.llm import common
 
@@ -52,25 +56,20 @@ RULES = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", ("private key",)),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", (".eyj",)),
 )
-SPAN = "array<struct<start:int,rank:int,kind:string,stop:int>>"
+SPAN = "array<struct<start:int,rank:int,kind:string,version:int,stop:int>>"
+HIT = "array<struct<rank:int,i:int,gap:int,size:int,value:int>>"
 LOWEST = -(1 << 63)
+#: Code points of a block that a long text is cut into before its spans are masked.
+BLOCK = 8192
 
 
-def _spans(text: Column, rule: Rule, rank: int) -> Column:
-    """Spans of one rule; texts without its hints skip the pattern."""
+def _hits(text: Column, rule: Rule, rank: int) -> Column:
+    """Lengths of a rule's matches, of the pieces before them and of their values."""
     whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
     parts = F.split(text, rule.pattern, -1)
     zipped = F.arrays_zip(whole.alias("m"), value.alias("v"), F.slice(parts, 1, F.size(parts) - 1).alias("p"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-
-    def step(acc, x):
-        a = acc["at"] + F.length(x["p"])
-        b = a + F.length(x["m"])
-        span = F.array(F.struct(a.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), b.alias("stop")))
-        return F.struct(b.alias("at"), F.when(F.length(x["v"]) >= rule.least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(zipped, start, step, lambda acc: acc["out"])
+    return F.transform(zipped, lambda x, i: F.struct(F.lit(rank).alias("rank"), i.alias("i"), F.length(x["p"]).alias("gap"), F.length(x["m"]).alias("size"), F.length(x["v"]).alias("value")))
 
 
 def _hinted(text: Column, lowered: Column, rule: Rule) -> Column:
@@ -82,16 +81,27 @@ def _hinted(text: Column, lowered: Column, rule: Rule) -> Column:
     return out
 
 
-def findings_of(text: Column, lowered: Column, need: Column | None = None, rules=RULES) -> Column:
-    """All spans of a text by start, then rule order; only ``need`` rules run."""
-    none = F.array().cast(SPAN)
+def hits_of(text: Column, lowered: Column, need: Column | None = None, rules=RULES) -> Column:
+    """Matches of all rules, as lengths; only ``need`` rules run, and texts without a rule's hints skip its pattern."""
+    none = F.array().cast(HIT)
     parts = []
     for rank, rule in enumerate(rules):
         on = _hinted(text, lowered, rule)
         if need is not None:
             on = F.array_contains(need, rule.key) & on
-        parts.append(F.when(on, _spans(text, rule, rank)).otherwise(none))
-    return F.array_sort(F.concat(*parts))
+        parts.append(F.when(on, _hits(text, rule, rank)).otherwise(none))
+    return F.concat(*parts)
+
+
+def spans_of(hits: DataFrame, rules=RULES) -> DataFrame:
+    """(blob, findings) from (blob, hits): running sums of the lengths give the offsets."""
+    rows = hits.where(F.size("hits") > 0).select("blob", F.explode("hits").alias("x")).select("blob", "x.*")
+    order = W.partitionBy("blob", "rank").orderBy("i")
+    rows = rows.withColumn("stop", F.sum(F.col("gap") + F.col("size")).over(order).cast("int"))
+    least, kind, version = (F.array(*[F.lit(getattr(r, name)) for r in rules]) for name in ("least", "kind", "version"))
+    rows = rows.where(F.col("value") >= F.get(least, F.col("rank")))
+    span = F.struct((F.col("stop") - F.col("size")).alias("start"), "rank", F.get(kind, F.col("rank")).alias("kind"), F.get(version, F.col("rank")).alias("version"), "stop")
+    return rows.groupBy("blob").agg(F.collect_list(span).alias("findings"))
 
 
 def blob_id(text: Column) -> Column:
@@ -110,30 +120,36 @@ def scan_unseen(docs: DataFrame, ledger: str, id_col="doc_id", text_col="text",
     if known is None:
         todo = todo.withColumn("need", keys)
     else:
-        todo = todo.join(known.select("blob", "scanned"), "blob", "left")
+        scanned = known.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("scanned"))).alias("scanned"))
+        todo = todo.join(scanned, "blob", "left")
         todo = todo.withColumn("need", F.array_except(keys, F.coalesce("scanned", F.array().cast("array<string>")))).drop("scanned").where(F.size("need") > 0)
     texts = docs.select(key, F.coalesce(text_col, F.lit("")).alias("text")).withColumn("blob", blob_id(F.col("text")))
     fresh = texts.join(todo, ["blob", "_key"]).withColumn("lowered", F.lower("text"))
-    fresh = fresh.select("blob", F.col("need").alias("scanned"), findings_of(F.col("text"), F.col("lowered"), F.col("need"), rules).alias("findings"))
-    fresh.write.mode("append").parquet(ledger)
+    fresh = fresh.select("blob", F.col("need").alias("scanned"), hits_of(F.col("text"), F.col("lowered"), F.col("need"), rules).alias("hits"))
+    fresh = common.staged(fresh, "scanned")
+    # one file set a run: a lost run leaves no blob marked as scanned without its findings
+    rows = fresh.join(spans_of(fresh, rules), "blob", "left").select("blob", "scanned", F.coalesce("findings", F.array().cast(SPAN)).alias("findings"))
+    rows.write.mode("append").parquet(ledger)
+    common.dispose(fresh)
     return blobs.select("path_id", "blob")
 
 
 def read_ledger(spark, ledger: str) -> DataFrame | None:
-    """One row a blob: every rule version that scanned it, every span found."""
+    """The rows (blob, scanned, findings) of all runs, or None before the first."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(ledger)
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return None
-    rows = spark.read.schema(f"blob binary, scanned array<string>, findings {SPAN}").parquet(ledger)
-    return rows.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_set("scanned"))).alias("scanned"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("findings")))).alias("findings"))
+    return spark.read.schema(f"blob binary, scanned array<string>, findings {SPAN}").parquet(ledger)
 
 
 def current_findings(spark, ledger: str, rules=RULES) -> DataFrame:
-    """(blob, findings) of blobs with a span of a current rule, as a table."""
-    kinds = [r.kind for r in rules]
-    found = read_ledger(spark, ledger).select("blob", F.filter("findings", lambda x: x["kind"].isin(kinds)).alias("findings"))
-    return common.staged(found.where(F.size("findings") > 0), "findings")
+    """(blob, findings) of blobs with a span of a current rule version, as a table; by start, then rule order."""
+    rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))])
+    rows = read_ledger(spark, ledger).select("blob", F.explode("findings").alias("x")).select("blob", "x.*")
+    rows = rows.withColumn("rank", F.try_element_at(rank, F.concat_ws("@", "kind", "version"))).where("rank IS NOT NULL").distinct()  # runs side by side may find the same
+    found = rows.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "version", "stop"))).alias("findings"))
+    return common.staged(found, "findings")
 
 
 def scan_history(docs: DataFrame, ledger: str | None = None, id_col="doc_id", text_col="text", rules=RULES) -> DataFrame:
@@ -162,15 +178,30 @@ def secret_report(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFram
 
 def redacted(text: Column, findings: Column) -> Column:
     """The text with every span replaced by ``[kind]``; overlaps count once."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<since:int,start:int,kind:string>>").alias("out"))
 
     def step(acc, x):
-        gap = F.substring(text, acc["at"] + 1, x["start"] - acc["at"])
-        fresh = F.struct(x["stop"].alias("at"), F.concat(acc["out"], gap, F.lit("["), x["kind"], F.lit("]")).alias("out"))
-        longer = F.struct(F.greatest(acc["at"], x["stop"]).alias("at"), acc["out"].alias("out"))
-        return F.when(x["start"] >= acc["at"], fresh).otherwise(longer)
-
-    return F.aggregate(findings, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+        cut = F.array(F.struct(acc["at"].alias("since"), x["start"].alias("start"), x["kind"].alias("kind")))
+        return F.struct(F.greatest(acc["at"], x["stop"]).alias("at"), F.when(x["start"] >= acc["at"], F.concat(acc["out"], cut)).otherwise(acc["out"]).alias("out"))
+
+    # short entries are gathered a thousand at a time, so that no list is copied once a hit
+    block = 1000
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(findings) - 1) / block).cast("int")), lambda i: F.slice(findings, i * block + 1, block))
+    many = F.aggregate(groups, F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<since:int,start:int,kind:string>>>").alias("out")),
+                       lambda acc, g: F.aggregate(g, F.struct(acc["at"].alias("at"), start["out"].alias("out")), step, lambda a: F.struct(a["at"].alias("at"), F.concat(acc["out"], F.array(a["out"])).alias("out"))))
+    # a substring is found by walking to it, so the text is cut into blocks first
+    blocks = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / BLOCK).cast("int")), lambda i: F.substring(text, i * BLOCK + 1, F.lit(BLOCK)))
+
+    def cut(b, since, to):
+        i, j = F.floor(since / BLOCK).cast("int"), F.floor(to / BLOCK).cast("int")
+        head = F.substring(F.get(b, i), since - i * BLOCK + 1, to - since)
+        tail = F.concat(F.array_join(F.slice(b, i + 2, j - i - 1), ""), F.substring(F.get(b, j), F.lit(1), to - j * BLOCK))
+        return F.concat(head, F.when(j > i, tail).otherwise(""))
+
+    # computed once a text: the lists travel through a one-element array
+    state = F.array(F.struct(F.flatten(many["out"]).alias("cuts"), many["at"].alias("at"), blocks.alias("blocks")))
+    whole = F.transform(state, lambda z: F.concat(F.array_join(F.transform(z["cuts"], lambda x: F.concat(cut(z["blocks"], x["since"], x["start"]), F.lit("["), x["kind"], F.lit("]"))), ""), cut(z["blocks"], z["at"], F.length(text))))
+    return F.get(whole, F.lit(0))
 
 
 def redact(docs: DataFrame, ledger: str | None = None, id_col="doc_id", text_col="text", chars_col="n_chars") -> DataFrame:
