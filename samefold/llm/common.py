@@ -63,14 +63,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of our own in the shared folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def dispose(df: DataFrame) -> None:
     """Delete the files behind a ``staged`` table that nothing reads any more."""
     path = getattr(df, "_samefold_path", None)
     if path:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        remove(df.sparkSession, path)
 
 
 def parts(spark: SparkSession, rows: int, each: int) -> int:

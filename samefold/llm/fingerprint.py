@@ -14,6 +14,8 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 import unicodedata
 
 import pyarrow as pa
@@ -112,19 +114,27 @@ def with_next(docs: DataFrame, id_col="doc_id", text_col="text", rows_per_range=
 
     Ids alone are ranked into ranges; each range also gets the first document
     of the following one as a ghost (the last range that of the first), so one
-    streaming pass over a range sees every document with its successor.
+    streaming pass over a range sees every document with its successor.  With
+    ``n`` documents there are n / ``rows_per_range`` ranges, from a few million
+    documents on the root of n: both their number and their size grow slowly.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))
     ids = docs.select(key.alias("key"))
     n = ids.count()
-    parts = max(1, min(4096, -(-n // rows_per_range)))
+    parts = max(1, -(-n // max(rows_per_range, math.isqrt(n))))
     cuts = ids.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)] or [0.5], 20 * parts)).first()[0] if parts > 1 else []
     cuts = sorted(set(cuts or []))
     spark = docs.sparkSession
-    edge = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
+    # two steps of a root of the cuts each, the second inside the block that the first finds
+    step = max(1, math.isqrt(len(cuts)))
+    blocks = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    kind = "array<array<long>>"
+    table = F.from_json(F.lit(json.dumps(blocks)), kind)
+    ends = F.from_json(F.lit(json.dumps([b[-1] for b in blocks])), "array<long>")
 
     def bucket(k):
-        return F.size(F.filter(edge, lambda c: c < k))
+        full = F.size(F.filter(ends, lambda c: c < k))
+        return full * step + F.size(F.filter(F.coalesce(F.get(table, full), F.array().cast("array<long>")), lambda c: c < k))
 
     firsts = {r[0]: r[1] for r in ids.groupBy(bucket(F.col("key")).alias("b")).agg(F.min("key").alias("k")).collect()}  # a row a range
     order = sorted(firsts)

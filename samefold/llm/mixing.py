@@ -21,11 +21,15 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from samefold.llm import common
+
 SEED = 20240917
 #: Highest rate inverted in one go, so that tables stay short and exp(-rate) is no underflow.
 PART_RATE = 200
 #: Copies of a row exploded from one array.
 COPY_BLOCK = 1024
+#: Rows of the input for each partition of the output.
+TASK_ROWS = 50_000
 
 
 def uniform(seed: str, *cols) -> "F.Column":
@@ -86,7 +90,7 @@ def mix(docs: DataFrame, id_col="doc_id", source_col="source", weights: DataFram
     """Replicated rows in global random order (range-dealt by ``order_key``)."""
     out = replicated(docs, id_col, source_col, weights, seed)
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = common.parts(spark, docs.count(), TASK_ROWS)
     # hash keys are uniform, so equal intervals are equal shares: no sampling pass
     return out.repartitionById(parts, F.floor(F.col("order_key") * parts).cast("int")).sortWithinPartitions("order_key")
 

@@ -12,17 +12,20 @@ histogram counts, into the open sequences first.  A price of length over capacit
 is feasible for the dual, so all tokens over the capacity are a lower bound; if a
 plan does not meet it, less of the program is kept, down to none, and the best
 plan counts.  The plan is a bounded table of rank intervals; every piece finds its
-place from its rank among the pieces of its length.
+place from its rank among the pieces of its length.  Pieces of a length are ranked by
+a hash, and sequences are numbered in a scattered order, so that neither neighbours of
+the corpus nor sequences of one plan stand together.
 
 Defined results: a null or empty text is one piece holding only the end id; a
 document longer than ``capacity`` is cut into full pieces and a last shorter
-one; pieces of equal length are interchangeable and ranked by document and piece;
+one; pieces of equal length are interchangeable and ranked by hash, then document and piece;
 repeated rows are packed once per row; null ids are kept as null; an
 empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, insort
 
@@ -49,6 +52,7 @@ ROUNDS, STEP = 24, 0.25
 KEPT = (1.0, 0.7, 0.4, 0.2, 0.1, 0.03, 0.0)
 #: Pieces ranked together; a length with more is split into salted parts.
 RANK_GROUP = 128
+SEED = 6
 
 
 def token_pieces(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAPACITY, end_id=END_ID, tokenizer: str | None = None) -> DataFrame:
@@ -235,6 +239,14 @@ def _best_fit(groups, left, capacity):
     return [g for s in slacks for g in by_slack[s]]
 
 
+def scatter(n: int) -> int:
+    """A factor coprime to ``n`` near its golden section: numbers times it, mod n, are a permutation."""
+    turn = max(1, int(n * 0.6180339887))
+    while math.gcd(turn, max(1, n)) != 1:
+        turn += 1
+    return turn
+
+
 def best_fit_pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAPACITY, end_id=END_ID, tokenizer: str | None = None) -> DataFrame:
     """One row per piece with its sequence and its place there.
 
@@ -244,12 +256,13 @@ def best_fit_pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CA
     pieces = common.staged(token_pieces(docs, id_col, text_col, capacity, end_id, tokenizer), "pieces")
     counts = pieces.groupBy("length").agg(F.count("*").alias("n"))
     hist = {r.length: r.n for r in counts.collect()}  # at most `capacity` rows
-    runs, _ = plan(hist, capacity)
+    runs, used = plan(hist, capacity)
+    turn = scatter(used)
     sizes = spark.createDataFrame([(k, -(-v // RANK_GROUP)) for k, v in hist.items()], "length long, n_salts long")
     salted = pieces.join(F.broadcast(sizes), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("n_salts"))).drop("n_salts")
     part = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     base = part.select("length", "salt", (F.sum("n").over(W.partitionBy("length").orderBy("salt")) - F.col("n")).alias("base"))
-    ranked = salted.withColumn("rank", F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1)
+    ranked = salted.withColumn("rank", F.row_number().over(W.partitionBy("length", "salt").orderBy(F.xxhash64(F.lit(SEED), "doc_id", "piece", "ids_crc32"), "doc_id", "piece", "start", "ids_crc32")) - 1)
     ranked = ranked.join(base, ["length", "salt"]).withColumn("rank", F.col("rank") + F.col("base"))
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
     key = runs[:, 0] << 44 | runs[:, 1]
@@ -262,6 +275,6 @@ def best_fit_pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CA
             at = np.searchsorted(keys, length << 44 | rank, side="right") - 1
             run = table[at]
             cols = [b.column(i) for i in range(5)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(run[:, 3] + rank - run[:, 1]), pa.array(run[:, 4])], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array((run[:, 3] + rank - run[:, 1]) * turn % max(1, used)), pa.array(run[:, 4])], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     return ranked.mapInArrow(common.tidied(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

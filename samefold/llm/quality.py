@@ -11,7 +11,8 @@ neighbours' labels are averaged, weighted by similarity and by how much of its
 label the sample holds.
 
 Defined results: null and empty texts, which have no vector, score the share of
-label 1; repeated rows are each scored; null labels are ignored; with no label
+label 1; all labelled vectors as near as the last neighbour vote, so ties leave nothing
+to order; repeated rows are each scored; an id with several texts is fitted on the least; null labels are ignored; with no label
 at all every score is 0.5; an empty table gives an empty result; other columns
 are ignored.
 """
@@ -92,15 +93,16 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def vote(z: np.ndarray, labelled: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: float, k=NEIGHBOURS) -> np.ndarray:
-    """Similarity-weighted share of label 1 among the ``k`` nearest."""
+    """Similarity-weighted share of label 1 among the ``k`` nearest, and all as near as the last of them."""
     out = np.empty(len(z))
     k = min(k, len(y))
     for a in range(0, len(z), BLOCK):
         cos = z[a : a + BLOCK] @ labelled.T
-        near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-        w = np.clip(np.take_along_axis(cos, near, 1), 0, 1).astype(float) ** SHARPNESS * weight[near]
-        s = w.sum(axis=1)
-        out[a : a + BLOCK] = np.where(s > 0, (w * y[near]).sum(axis=1) / np.where(s > 0, s, 1), prior)
+        last = np.partition(cos, -k, axis=1)[:, -k]
+        row, near = np.nonzero(cos >= last[:, None])
+        w = np.clip(cos[row, near], 0, 1).astype(float) ** SHARPNESS * weight[near]
+        s, one = np.bincount(row, w, len(cos)), np.bincount(row, w * y[near], len(cos))
+        out[a : a + BLOCK] = np.where(s > 0, one / np.where(s > 0, s, 1), prior)
     return np.clip(out, 0, 1)
 
 

@@ -155,9 +155,11 @@ def current_findings(spark, ledger: str, rules=RULES) -> DataFrame:
 def scan_history(docs: DataFrame, ledger: str | None = None, id_col="doc_id", text_col="text", rules=RULES) -> DataFrame:
     """Rows (path_id, findings), one for every row of ``docs``."""
     spark = docs.sparkSession
-    ledger = ledger or common.shared_path(spark, "ledger")
-    paths = scan_unseen(docs, ledger, id_col, text_col, rules)
-    found = current_findings(spark, ledger, rules)
+    at = ledger or common.shared_path(spark, "ledger")
+    paths = scan_unseen(docs, at, id_col, text_col, rules)
+    found = current_findings(spark, at, rules)
+    if not ledger:
+        common.remove(spark, at)
     return paths.join(found, "blob", "left").select("path_id", F.coalesce("findings", F.array().cast(SPAN)).alias("findings"))
 
 
@@ -207,9 +209,12 @@ def redacted(text: Column, findings: Column) -> Column:
 def redact(docs: DataFrame, ledger: str | None = None, id_col="doc_id", text_col="text", chars_col="n_chars") -> DataFrame:
     """``docs`` with found secrets masked; rows without findings are unchanged."""
     spark = docs.sparkSession
-    ledger = ledger or common.shared_path(spark, "ledger")
-    scan_unseen(docs, ledger, id_col, text_col)
-    found = current_findings(spark, ledger).withColumnsRenamed({"blob": "_blob", "findings": "_found"})
+    at = ledger or common.shared_path(spark, "ledger")
+    scan_unseen(docs, at, id_col, text_col)
+    found = current_findings(spark, at)
+    if not ledger:
+        common.remove(spark, at)
+    found = found.withColumnsRenamed({"blob": "_blob", "findings": "_found"})
     hit = docs.withColumn("_b", blob_id(F.col(text_col))).join(found, F.col("_b") == F.col("_blob"), "left")
     text = F.when(F.col("_found").isNull(), F.col(text_col)).otherwise(redacted(F.col(text_col), F.col("_found")))
     out = hit.withColumn(text_col, text)

@@ -117,4 +117,5 @@ def document_token_counts(docs: DataFrame, id_col="doc_id", text_col="text", eod
         folder = f"file://{os.path.abspath(folder)}"
     rows = common.staged(write_flat(docs, folder, eod_id, id_col, text_col, tokenizer=tokenizer), "written")
     counts = count_tokens(rows.groupBy("file").agg(F.max("n_bytes").alias("n_bytes")), eod_id)
+    common.remove(spark, folder)  # the scan of its blocks is staged
     return rows.join(counts, ["file", "doc_index"]).select("doc_id", "n_tokens")

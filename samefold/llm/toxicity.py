@@ -11,8 +11,8 @@ that Spark aggregates over the sample; the driver holds ``FEATURES`` weights and
 the sample's sparse vectors.  Every whole text is scored.
 
 Defined results: null and empty texts get the score of the intercept; repeated
-rows are each scored; labels are joined by id, and a label row that is null is
-ignored; without labels of both kinds every score is the share of label 1 (0.5
+rows are each scored; labels are joined by id, of several labels of an id the greatest
+and of several texts the least counts; a label row that is null is ignored; without labels of both kinds every score is the share of label 1 (0.5
 with no label at all); an empty table gives an empty result.
 """
 
@@ -39,7 +39,9 @@ IDENTITY_GROUPS = (
     ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"), ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
     ("black", "white", "asian", "latino", "arab"), ("gay", "straight", "lesbian", "bisexual"), ("transgender", "cisgender"),
     ("immigrants", "citizens", "refugees"), ("immigrant", "citizen", "refugee"), ("disabled", "able-bodied"), ("elderly", "young"),
-    ("frauen", "männer"), ("femmes", "hommes"), ("mujeres", "hombres"),
+    ("frau", "mann"), ("frauen", "männer"), ("mädchen", "jungen"), ("muslime", "christen", "juden"), ("schwule", "lesben"),
+    ("femme", "homme"), ("femmes", "hommes"), ("filles", "garçons"), ("musulmans", "chrétiens", "juifs"), ("immigrés", "réfugiés"),
+    ("mujer", "hombre"), ("mujeres", "hombres"), ("niñas", "niños"), ("musulmanes", "cristianos", "judíos"), ("inmigrantes", "refugiados"),
 )
 SWAP = {t: g[(i + 1) % len(g)] for g in IDENTITY_GROUPS for i, t in enumerate(g)}
 EDGES = ".,;:!?*%$&#()[]{}<>\"'|-_/\\"
@@ -91,7 +93,7 @@ def sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col="doc_id",
     totals = {r.y: r.n for r in y.groupBy("y").agg(F.count("*").alias("n")).collect()}
     got = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = got.join(F.broadcast(picked), F.col("doc_id") == F.col("_l")).select("doc_id", "text", "y")  # at most 2 * rows ids
-    return common.staged(out.dropDuplicates(["doc_id"]), "sample"), totals
+    return common.staged(out.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")), "sample"), totals
 
 
 def select_features(rows: DataFrame, features=FEATURES) -> list[str]:
