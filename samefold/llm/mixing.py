@@ -11,7 +11,8 @@ and dealt to partitions in the order of a second hash: a global shuffle.
 Defined results: a null source is a source of its own; a null id hashes as the
 empty text; repeated rows get equal counts and are told apart by nothing but
 their order key; sources with zero or missing weight get no copy; an empty table
-gives an empty result; all columns are carried along.
+gives an empty result; all columns are carried along, but for ones named
+``copy_number`` or ``order_key``, which are replaced.
 """
 
 from __future__ import annotations
