@@ -98,6 +98,9 @@ def hits(s1: DataFrame, source: DataFrame, rules=V8, caps: dict[str, int] | None
     right = keys(source, rules)
     right = right.join(oversized(right, caps).drop("n"), ["rule", "key", "country"], "left_anti")
     pairs = keys(s1, rules).withColumnRenamed("entity_id", "sid").join(right.withColumnRenamed("entity_id", "cid"), ["rule", "key", "country"])
+    # dealt by S1 record once: counts, scores and ranks of a record need no other shuffle, and as
+    # equal pairs come from different keys, combining before it would save little
+    pairs = pairs.select("sid", "cid", "rule").repartition("sid")
     least = F.create_map(*[F.lit(x) for r in rules for x in (r, RULES[r].least)])
     return pairs.groupBy("sid", "cid", "rule").agg(F.count("*").alias("n")).where(F.col("n") >= F.try_element_at(least, F.col("rule")))
 
