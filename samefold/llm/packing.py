@@ -10,8 +10,8 @@ the exact lengths of its classes so that it is full, or goes without its last
 piece and stays open.  What the rounding leaves is placed best-fit, still by
 histogram counts, into the open sequences first.  A price of length over capacity
 is feasible for the dual, so all tokens over the capacity are a lower bound; if a
-plan does not meet it, less of the program is kept, down to none, and the best
-plan counts.  The plan is a bounded table of rank intervals; every piece finds its
+plan does not meet it, less of the program is kept, down to a thirtieth, and the
+best plan counts.  The plan is a bounded table of rank intervals; every piece finds its
 place from its rank among the pieces of its length.  Pieces of a length are ranked by
 a hash, and sequences are numbered in a scattered order, so that neither neighbours of
 the corpus nor sequences of one plan stand together.
@@ -49,7 +49,7 @@ SMALL_SHARE = 8
 #: Rounds of the multiplicative-weights solver and its step size.
 ROUNDS, STEP = 24, 0.25
 #: Parts of the program's counts that are kept, in the order they are tried.
-KEPT = (1.0, 0.7, 0.4, 0.2, 0.1, 0.03, 0.0)
+KEPT = (1.0, 0.7, 0.4, 0.2, 0.1, 0.03)
 #: Pieces ranked together; a length with more is split into salted parts.
 RANK_GROUP = 128
 SEED = 6
