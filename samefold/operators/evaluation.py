@@ -66,6 +66,44 @@ def best_possible_f05(recall: float) -> float:
     return 1.25 * recall / (0.25 + recall) if recall else 0.0
 
 
+def recall_ceiling(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """(pair_recall, best_f05): what a faultless model could reach on these candidates."""
+    r = F.col("pair_recall")
+    return blocking_recall(truth, found).select("pair_recall", F.when(r > 0, 1.25 * r / (0.25 + r)).otherwise(0.0).alias("best_f05"))
+
+
+def percentiles(df: DataFrame, value: str, percents: list[int], by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, p10, ...): exact percentiles, interpolated between neighbours, nulls left out.
+
+    Distinct values are counted, dealt by range and staged; running counts are
+    taken inside each range on top of the counts of the ranges before it, so no
+    task holds all values.
+    """
+    spark = df.sparkSession
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = staged(counts.repartitionByRange(parts, *by, "v").withColumn("part", F.spark_partition_id()), "counts")
+    totals = counts.groupBy(*by, "part").agg(F.sum("n").alias("t"))
+    total = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    before = total.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.select(*by, "part", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("before"), F.sum("t").over(total).alias("total"))  # one row a range and group
+    same = reduce(lambda x, y: x & y, [F.col(f"c.{k}").eqNullSafe(F.col(f"t.{k}")) for k in (*by, "part")])
+    ranked = counts.alias("c").join(totals.alias("t"), same).select(*[F.col(f"c.{k}").alias(k) for k in by], "c.part", "v", "n", "before", "total")
+    last = F.col("before") + F.sum("n").over(W.partitionBy(*by, "part").orderBy("v").rowsBetween(W.unboundedPreceding, 0)) - 1
+    ranked = ranked.withColumn("last", last).withColumn("first", F.col("last") - F.col("n") + 1)
+
+    def at(place):  # the value on a whole place
+        return F.max(F.when((F.col("first") <= place) & (place <= F.col("last")), F.col("v")))
+
+    out = []
+    for q in percents:
+        place = F.lit(q / 100) * (F.col("total") - 1)
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        share = F.max(place - F.floor(place))
+        out.append(F.when(low == high, low.cast("double")).otherwise(low * (1 - share) + high * share).alias(f"p{q}"))
+    return ranked.groupBy(*by).agg(*out)
+
+
 def rule_contribution(truth: DataFrame, hits: DataFrame) -> DataFrame:
     """(rule, recovered): true pairs that each rule reaches."""
     return truth.distinct().join(hits, ["sid", "cid"]).groupBy("rule").agg(F.count("*").alias("recovered"))
@@ -194,7 +232,9 @@ def stage_recall(truth: DataFrame, rows: DataFrame) -> DataFrame:
 def probability_by_truth(scored: DataFrame) -> DataFrame:
     """Spread of the probability of true and of other pairs."""
     c = F.col("probability")
-    return scored.groupBy("label").agg(F.count(c).alias("n"), F.min(c).alias("least"), *[F.percentile(c, q / 100).alias(f"p{q}") for q in (25, 50, 75)], F.max(c).alias("greatest"), F.avg(c).alias("mean"))
+    scored = staged(scored.select("label", "probability"), "scored")  # counted, then ranked
+    plain = scored.groupBy("label").agg(F.count(c).alias("n"), F.min(c).alias("least"), F.max(c).alias("greatest"), F.avg(c).alias("mean"))
+    return plain.join(percentiles(scored, "probability", [25, 50, 75], ("label",)), "label", "left")
 
 
 def missed_sample(truth: DataFrame, hits: DataFrame, n=20) -> DataFrame:
@@ -239,4 +279,6 @@ def alignment(s1: DataFrame, other: DataFrame) -> DataFrame:
 def spread(df: DataFrame, value: str) -> DataFrame:
     """Count, mean, deviation, extremes and exact percentiles."""
     c = F.col(value)
-    return df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("deviation"), F.min(c).alias("least"), F.max(c).alias("greatest"), *[F.percentile(c, q / 100).alias(f"p{q}") for q in (10, 25, 50, 75, 90, 99)])
+    df = staged(df.select(value), "values")  # counted, then ranked
+    plain = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("deviation"), F.min(c).alias("least"), F.max(c).alias("greatest"))
+    return plain.join(percentiles(df, value, [10, 25, 50, 75, 90, 99]), F.lit(True))  # one row each

@@ -382,6 +382,81 @@ def incremental_match(s, d):
     return s.read.schema(f"{kinds}, batch int").parquet(f"{base}/out").select("sid", "cid", "block_score", "block_rules", "block_rank")
 
 
+# --- readers, writers and resumed work -------------------------------------------------
+def _place(s, name):
+    return f"{staging.shared_dir(s)}/{name}-{staging.uuid.uuid4().hex}"
+
+
+_QUOTED = "'  \"' || name || '\", ' || address || ' '"  # quotes, separators and outer blanks must survive
+query("tsv_roundtrip", f"WITH {ENTITIES_SQL} SELECT entity_id, {_QUOTED} AS business_name, address AS business_address, coalesce(country, '') AS country FROM entities")(
+    lambda s, d: _written(s, fixtures.entities(s, d).select("entity_id", F.expr(_QUOTED).alias("business_name"), F.col("address").alias("business_address"), "country"), "\t", tables.RECORD))
+query("csv_roundtrip_columns", f"WITH {ENTITIES_SQL} SELECT entity_id, {_QUOTED} AS label FROM entities")(
+    lambda s, d: _written(s, fixtures.entities(s, d).select("entity_id", "country", F.expr(_QUOTED).alias("label")), ",", None, ["entity_id", "label"]))
+
+
+def _written(s, df, sep, schema=None, columns=None):
+    path = _place(s, "export")
+    tables.write_delimited(df, path, sep)
+    return tables.read_delimited(s, path, schema, sep, columns)
+
+
+@query("record_aliases", f"WITH {ENTITIES_SQL} SELECT entity_id, name AS business_name, address AS business_address, coalesce(country, '') AS country FROM entities")
+def record_aliases(s, d):
+    """Records under other column spellings, in another order and beside a strange column."""
+    path = _place(s, "aliases")
+    e = fixtures.entities(s, d).select("src", F.col("country").alias("Nation"), F.col("address").alias("full_address"), F.col("name").alias("Company_Name"), F.col("entity_id").alias("record_id"))
+    tables.write_delimited(e, path)
+    return tables.read_records(s, path)
+
+
+@query("candidate_layouts", H + "SELECT 'list' AS layout, sid, cid, block_rank::INT AS block_rank FROM cand UNION ALL SELECT 'pairs', sid, cid, block_rank::INT FROM cand")
+def candidate_layouts(s, d):
+    """Candidates written as lists and as pairs, each told apart by its header."""
+    c = staging.staged(_cand(s, d).select("sid", "cid", "block_rank"), "candidates")
+    lists, pairs = _place(s, "lists"), _place(s, "pairs")
+    tables.write_delimited(tables.as_list(c, "candidate_entity_ids").withColumnRenamed("sid", "source1_entity_id"), lists)
+    tables.write_delimited(c.toDF("source1_entity_id", "source_entity_id", "block_rank"), pairs)
+    read = [tables.read_candidates(s, p).withColumn("layout", F.lit(n)).withColumn("block_rank", F.col("block_rank").cast("int")) for n, p in (("list", lists), ("pairs", pairs))]
+    return read[0].unionByName(read[1])
+
+
+@query("append_parts", f"WITH {ENTITIES_SQL} SELECT entity_id, name, address FROM s23")
+def append_parts(s, d):
+    """Two appends to one export; no header becomes a row."""
+    path = _place(s, "appended")
+    e = fixtures.entities(s, d)
+    for src in (2, 3):
+        tables.write_delimited(e.where(F.col("src") == src).select("entity_id", "name", "address"), path, mode="append")
+    return tables.read_delimited(s, path, e.select("entity_id", "name", "address").schema)
+
+
+query("resume_unfinished", H + "SELECT entity_id, name FROM s1 WHERE entity_id NOT IN (SELECT sid FROM cand WHERE block_score >= 2000)")(
+    lambda s, d: tables.unfinished(_pair(s, d)[0], _cand(s, d).where("block_score >= 2000").select(F.col("sid").alias("entity_id")), "entity_id").select("entity_id", "name"))
+query("truth_of_source", f"WITH {ENTITIES_SQL} SELECT DISTINCT sid, cid FROM truth WHERE cid LIKE 'S2-%'")(
+    lambda s, d: tables.truth_pairs(fixtures.truth(s, d).groupBy(F.col("sid").alias("source1_entity_id")).agg(F.array_join(F.collect_list("cid"), " ; ").alias("matched_entity_ids")), "S2-"))
+
+
+@query("cached_lookup", f"WITH {ENTITIES_SQL} SELECT entity_id, name, country FROM s23")
+def cached_lookup(s, d):
+    """A lookup table with a row guard: a copy with too few rows is built anew."""
+    path, source = _place(s, "lookup"), _pair(s, d)[1].select("entity_id", "name", "country")
+    n = source.count()
+    staging.cached(s, path, 0, lambda: source.limit(0))
+    return staging.require_unique(staging.cached(s, path, n, lambda: source), "entity_id")
+
+
+for _name, _pattern, _how in (("normalize_ascii", r"[^a-z0-9_\s]", {"ascii_only": True}), ("normalize_marks", r"[^\p{L}\p{N}_\p{M}\s]", {"marks": True})):
+    _sql = NORM.format("('Ça e' || chr(769) || 't_1 ' || coalesce(text, ''))").replace(r"[^\p{L}\p{N}_\s]", _pattern)
+    query(_name, f"SELECT doc_id, md5({_sql}) AS h, length({_sql}) AS n FROM documents")(
+        lambda s, d, how=_how: _docs(s, d).select("doc_id", text.normalize_text(F.concat(F.lit("Ça ét_1 "), F.coalesce("text", F.lit(""))), **how).alias("t")).select("doc_id", F.md5("t").alias("h"), F.length("t").cast("long").alias("n")))
+query("recall_ceiling", H + """, t AS (SELECT DISTINCT sid, cid FROM truth), r AS (SELECT count(c.sid)::DOUBLE / greatest(count(*), 1) AS r FROM t LEFT JOIN cand c ON t.sid = c.sid AND t.cid = c.cid)
+SELECT round(r, 6) AS pair_recall, round(CASE WHEN r > 0 THEN 1.25::DOUBLE * r / (0.25::DOUBLE + r) ELSE 0 END, 6) AS best_f05 FROM r""")(
+    lambda s, d: _r6(evaluation.recall_ceiling(fixtures.truth(s, d), _cand(s, d)), "pair_recall", "best_f05"))
+query("class_weights", H + """, lab AS (SELECT (t.sid IS NOT NULL)::INT AS label FROM cand c LEFT JOIN (SELECT DISTINCT sid, cid FROM truth) t ON c.sid = t.sid AND c.cid = t.cid), sums AS (SELECT sum(label) AS p, sum(1 - label) AS q FROM lab)
+SELECT label, count(*) AS pairs, round(CASE WHEN label = 0 OR any_value(p) = 0 THEN 1 ELSE any_value(q)::DOUBLE / any_value(p) END, 6) AS weight FROM lab CROSS JOIN sums GROUP BY 1""")(
+    lambda s, d: matching.class_weight(matching.labelled(_cand(s, d).select("sid", "cid"), fixtures.truth(s, d))).groupBy("label").agg(F.count("*").alias("pairs"), F.round(F.max("weight"), 6).alias("weight")))
+
+
 # --- rows only -------------------------------------------------------------------------
 R["features_fuzzy"] = lambda s, d: features.fuzzy(_pairs(s, d))
 

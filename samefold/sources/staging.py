@@ -31,6 +31,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def cached(spark: SparkSession, path: str, rows: int, build) -> DataFrame:
+    """The table at ``path``, built anew if it is absent, unfinished or has other than ``rows`` rows (IO14)."""
+    if exists(spark, f"{path}/_SUCCESS"):
+        found = spark.read.parquet(path)
+        if found.count() == rows:
+            return found
+    build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def registered(df: DataFrame, name: str) -> DataFrame:
     """``df`` under a name for SQL."""
     df.createOrReplaceTempView(name)

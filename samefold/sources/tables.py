@@ -19,7 +19,11 @@ ALIASES = {
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None, sep="\t", columns=None) -> DataFrame:
-    """All-string scan; nothing is read as missing, absent values are empty texts."""
+    """All-string scan; nothing is read as missing, absent values are empty texts.
+
+    Quotes are doubled inside quoted values; a value must not hold a line break,
+    so that files can be split among tasks.
+    """
     reader = spark.read.option("sep", sep).option("header", True).option("quote", '"').option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "")
     df = (reader.schema(schema) if schema else reader).csv(path)
     df = df.select(*columns) if columns else df
@@ -86,7 +90,8 @@ def fetched(source: DataFrame, ids: DataFrame, key="entity_id") -> DataFrame:
 def write_delimited(df: DataFrame, path: str, sep="\t", mode="error", single=False, order=()) -> None:
     """Partitioned export, sorted by ``order``; ``single`` makes one file, for small reports only."""
     df = df.orderBy(*order) if order else df
-    (df.coalesce(1) if single else df).write.mode(mode).option("sep", sep).option("header", True).option("emptyValue", "").csv(path)
+    writer = (df.coalesce(1) if single else df).write.mode(mode).option("sep", sep).option("header", True).option("emptyValue", "").option("quote", '"').option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def unfinished(df: DataFrame, done: DataFrame, key: str) -> DataFrame:

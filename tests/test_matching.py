@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from samefold.operators import blocking, evaluation, features, matching
@@ -193,3 +194,36 @@ def test_block_joins_on_all_their_tokens(spark):
                 if half or number:
                     want.add((x[0], y[0], half, number))
     assert {tuple(r) for r in blocking.prefix_residuals(a, b).collect()} == want
+
+
+def test_percentiles_equal_numpy(spark):
+    rng = np.random.default_rng(1)
+    values = [(k, float(v)) for k, n in (("a", 1), ("b", 2), ("c", 500)) for v in rng.integers(0, 40, n) / 8] + [("c", None), ("d", None), (None, 3.0)]
+    df = spark.createDataFrame(values, "k string, v double")
+    got = {r.k: (r.p10, r.p25, r.p50, r.p99) for r in evaluation.percentiles(df, "v", [10, 25, 50, 99], ("k",)).collect()}
+    want = {k: tuple(np.percentile([v for x, v in values if x == k and v is not None], [10, 25, 50, 99])) for k in ("a", "b", "c", None)}
+    assert set(got) == set(want)
+    for k in want:
+        assert got[k] == pytest.approx(want[k])
+    whole = evaluation.percentiles(df, "v", [10, 90]).collect()
+    assert [tuple(r) for r in whole] == [pytest.approx(tuple(np.percentile([v for _, v in values if v is not None], [10, 90])))]
+    assert [tuple(r) for r in evaluation.percentiles(df.where("false"), "v", [50]).collect()] == [(None,)]
+
+
+def test_export_keeps_quotes_separators_and_blanks(spark, tmp_path):
+    rows = [("1", ' a "b"\tc, '), ("2", '"'), ("3", "back\\slash"), ("4", "")]
+    for sep in ("\t", ","):
+        path = str(tmp_path / f"x{ord(sep)}")
+        tables.write_delimited(spark.createDataFrame(rows, "id string, v string"), path, sep)
+        assert sorted(tuple(r) for r in tables.read_delimited(spark, path, sep=sep).collect()) == rows
+
+
+def test_cached_table_is_built_once_and_again_if_its_rows_differ(spark, tmp_path):
+    built = []
+
+    def build(n):
+        return lambda: built.append(n) or spark.range(n)
+
+    path = str(tmp_path / "cached")
+    assert [staging.cached(spark, path, n, build(n)).count() for n in (3, 3, 5)] == [3, 3, 5]
+    assert built == [3, 5]
