@@ -194,25 +194,31 @@ def near_duplicates(docs: DataFrame, similarity=SIMILARITY, id_col="doc_id", tex
     sk = common.staged(sketch(src), "sketch")
     many = common.staged(sk.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n"), "classes")
     copies = common.staged(common.join_small(sk.select("doc_id", "digest"), many, "digest").where("doc_id <> rep").select("doc_id", "rep"), "copies")
+    common.dispose(many)
     reps = common.join_small(sk.select("doc_id", "sig"), copies.select("doc_id"), "doc_id", "left_anti")
     bands = common.staged(band_rows(reps), "bands")
     sizes = common.staged(bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    shared = common.staged(common.join_small(bands, sizes, ["band", "key"]), "shared")
+    met = common.staged(common.join_small(bands, sizes, ["band", "key"]), "shared")
     common.dispose(bands)
-    popular = common.staged(shared.groupBy("doc_id").agg(F.sum("n").alias("popularity")), "popular")
-    shared = common.join_small(shared.drop("n"), popular, "doc_id")
+    common.dispose(sizes)
+    popular = common.staged(met.groupBy("doc_id").agg(F.sum("n").alias("popularity")), "popular")
+    shared = common.join_small(met.drop("n"), popular, "doc_id")
     centres = common.staged(shared.groupBy("band", "key").agg(F.max(F.struct("popularity", "doc_id"))["doc_id"].alias("centre")), "centres")
     crowded = common.staged(common.join_small(shared, centres, ["band", "key"]).drop("popularity"), "crowded")
+    common.dispose(met)
+    common.dispose(centres)
     stars = crowded.where("doc_id <> centre").select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
     sig = common.staged(common.join_small(reps, popular.select("doc_id"), "doc_id", "left_semi"), "signatures")
     tried = common.staged(_agreement(stars, sig).select("a", "b"), "tried")
     texts = common.staged(common.join_small(src, popular.select("doc_id"), "doc_id", "left_semi"), "texts")
     links = common.staged(_verified(tried, texts, similarity), "links")
-    comps = common.staged(connected_components(links), "components")
+    common.dispose(sk)
+    comps = connected_components(links)
     more = _cross_links(crowded, comps, texts, tried, similarity)
     if more is not None:
-        comps = common.staged(connected_components(links.unionByName(more)), "components")
-    for old in (shared, crowded, sig, texts, tried):
+        first, comps = comps, connected_components(links.unionByName(more))
+        common.dispose(first)
+    for old in (crowded, popular, sig, texts, tried, links):
         common.dispose(old)
     out = common.join_small(src.select("doc_id"), copies, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     out = common.join_small(out, comps.toDF("rep", "component"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("group_id"))
@@ -329,7 +335,11 @@ def _cross_links(crowded: DataFrame, comps: DataFrame, texts: DataFrame, tried:
     pairs = common.staged(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
     links = common.staged(_verified(pairs, texts, similarity), "links")
     dense = common.staged(found.where("y IS NULL").select("band", "key", F.col("x").alias("doc_id")).distinct(), "dense")
+    common.dispose(found)
+    common.dispose(pairs)
     if dense.isEmpty():
+        for old in (mixed, rows, fine, dense):
+            common.dispose(old)
         return links
     many = dense.groupBy("band", "key").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks"))
     again = common.join_small(rows.drop("asks", "chunks"), many, ["band", "key"])
@@ -364,7 +374,10 @@ def _cross_links(crowded: DataFrame, comps: DataFrame, texts: DataFrame, tried:
                 yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
     more = dealt(again, "bag", parts=common.parts(spark, total, TASK_ROWS // 4)).mapInArrow(common.tidied(verified), "u long, v long")
-    return links.unionByName(common.staged(more, "links"))
+    more = common.staged(more, "links")
+    for old in (mixed, rows, fine, dense, again):
+        common.dispose(old)
+    return links.unionByName(more)
 
 
 def drop_near_duplicates(docs: DataFrame, similarity=SIMILARITY, id_col="doc_id", text_col="text") -> DataFrame:

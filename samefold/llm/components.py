@@ -15,7 +15,7 @@ from samefold.llm.common import dispose, staged
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) of every node of ``edges`` (u, v); the smallest node names it."""
+    """(node, component) of every node of ``edges`` (u, v), staged; the smallest node names it."""
     edges = staged(edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
     nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     labels = staged(nodes.select("node", F.col("node").alias("root")), "labels")
@@ -34,4 +34,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             dispose(old)
         edges, labels = new_edges, new_labels
     names = labels.groupBy("root").agg(F.min("node").alias("component"))
-    return labels.join(names, "root").select("node", "component")
+    out = staged(labels.join(names, "root").select("node", "component"), "components")
+    for old in (edges, labels):
+        dispose(old)
+    return out

@@ -297,7 +297,7 @@ def _count(batches, dim, bound):
 
 
 def _links(part: DataFrame, dim: int, bound: float, recall: float) -> DataFrame:
-    """(u, v, links) of the classes ``part`` (id, n, x) of one length."""
+    """(u, v, links) of the classes ``part`` (id, n, x) of one length, staged."""
     spark = part.sparkSession
     k, n_tables = tables(part.count(), dim, bound, recall)
     hashed = common.staged(part.select("id", "n", "x").mapInArrow(common.tidied(lambda b: _hashed(b, dim, k, n_tables)), "id long, n long, cells binary, vec binary"), "hashed")
@@ -318,7 +318,10 @@ def _links(part: DataFrame, dim: int, bound: float, recall: float) -> DataFrame:
     at = at.select("id", F.explode(F.when(alone, F.array(role(F.lit(0), F.lit(0), BOTH))).otherwise(grid)).alias("g"), "tab", "cell")
     dealt = at.join(hashed, "id").select("tab", "cell", "g.chunk", "g.slice", "g.role", "id", "n", "cells", "vec")
     dealt = dealt.repartition(common.parts(spark, size, TASK_ROWS), "tab", "cell", "chunk", "slice").sortWithinPartitions("tab", "cell", "chunk", "slice", F.desc("role"))
-    return dealt.mapInArrow(common.tidied(lambda b: _count(b, dim, bound)), "u long, v long, links long")
+    found = common.staged(dealt.mapInArrow(common.tidied(lambda b: _count(b, dim, bound)), "u long, v long, links long"), "links")
+    common.dispose(hashed)
+    common.dispose(crowd)
+    return found
 
 
 def dedup(vectors: DataFrame, bound=BOUND, id_col="vec_id", vec_col="embedding", recall=RECALL) -> DataFrame:
@@ -332,18 +335,22 @@ def dedup(vectors: DataFrame, bound=BOUND, id_col="vec_id", vec_col="embedding",
     many = common.staged(rows.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id"), "repeated")
     if not many.isEmpty():
         once = common.join_small(rows, many, "id", "left_semi").groupBy("id").agg(F.min_by("x", "class").alias("x"), F.min("class").alias("class"))
-        rows = common.staged(common.join_small(rows, many, "id", "left_anti").unionByName(once), "vectors")
+        whole = rows
+        rows = common.staged(common.join_small(whole, many, "id", "left_anti").unionByName(once), "vectors")
+        common.dispose(whole)
+    common.dispose(many)
     sound = rows.where("class IS NOT NULL")
     classes = sound.groupBy("class").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min_by("x", "id").alias("x"))
     classes = common.staged(classes, "classes")
     dims = [r[0] for r in classes.groupBy(F.size("x").alias("d")).agg(F.count("*").alias("n")).where("n > 1").select("d").collect()]  # vectors of one table have few lengths
     parts = [_links(classes.where(F.size("x") == dim), dim, bound, recall) for dim in dims]
     found = functools.reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "u long, v long, links long")
-    found = common.staged(found, "links")
     counts = found.groupBy("u").agg(F.sum("links").alias("links"))
     comps = connected_components(found.where("v IS NOT NULL").select("u", "v"))
     known = classes.select("class", F.col("id").alias("rep"), "n").join(counts.withColumnRenamed("u", "rep"), "rep", "left").join(comps.toDF("rep", "component"), "rep", "left")
     known = common.staged(known.select("class", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id")), "known")
+    for old in (*parts, classes, comps):
+        common.dispose(old)
     out = rows.select("id", "class").join(known, "class", "left")
     comp = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), comp.alias("component_id"), (F.col("id") == comp).alias("kept"))
