@@ -227,3 +227,31 @@ def test_cached_table_is_built_once_and_again_if_its_rows_differ(spark, tmp_path
     path = str(tmp_path / "cached")
     assert [staging.cached(spark, path, n, build(n)).count() for n in (3, 3, 5)] == [3, 3, 5]
     assert built == [3, 5]
+
+
+def test_pairs_meet_in_tiles_without_shuffled_pairs(spark, monkeypatch):
+    """Tiles, repeated ids, odd countries and ties against every pair counted plainly; the plan deals records, not pairs."""
+    from samefold.operators import tiles
+
+    rows = [(f"S{i % 3 + 1}-{i % 55}", f"{'ab'[i % 2]}name tok{i % 7} tok{i % 5} end", f"{i % 4} long street {i % 9}", [None, "", "x", "y"][i % 4] if i > 50 else "x") for i in range(60)]
+    df = spark.createDataFrame(rows, "entity_id string, name string, address string, country string")
+    s1, source = df.where("entity_id LIKE 'S1-%'"), df.where("entity_id NOT LIKE 'S1-%'")
+    caps = {r: 12 for r in blocking.V8}
+    right = blocking.keys(source)
+    live = right.join(blocking.oversized(right, caps).drop("n"), ["rule", "key", "country"], "left_anti")
+    plain = blocking.keys(s1).withColumnRenamed("entity_id", "sid").join(live.withColumnRenamed("entity_id", "cid"), ["rule", "key", "country"]).groupBy("sid", "cid", "rule").count().collect()
+    want = {(r.sid, r.cid, r.rule, r["count"]) for r in plain if r["count"] >= blocking.RULES[r.rule].least}
+    found = spark.createDataFrame(list(want), "sid string, cid string, rule string, n long")
+    best = {tuple(r) for r in blocking.top_k(blocking.scored(found), 3).collect()}
+    assert want and len(best) > 20
+    for most in (100_000, 4):
+        monkeypatch.setattr(tiles, "S1_ROWS", most)
+        monkeypatch.setattr(tiles, "SOURCE_ROWS", most)
+        assert {tuple(r) for r in blocking.hits(s1, source, caps=caps).collect()} == want
+        assert {tuple(r) for r in blocking.hits_of(found, s1, source, caps=caps).collect()} == want
+        for scheme in ("sum", "max", "votes"):
+            assert {tuple(r) for r in blocking.scored_pairs(s1, source, scheme=scheme, caps=caps).collect()} == {tuple(r) for r in blocking.scored(found, scheme).collect()}
+        got = blocking.candidates(s1, source, k=3, caps=caps)
+        assert {tuple(r) for r in got.select("sid", "cid", "block_score", "block_rules", "block_rank").collect()} == best
+    plan = blocking.hits(s1, source)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(cell" in plan and "hashpartitioning(sid" not in plan
