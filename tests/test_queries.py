@@ -5,7 +5,8 @@ import __spark_entry__ as entry
 import duckdb
 import pytest
 import regex
-from samefold.operators import matching
+from samefold.operators import matching, tiles
+from samefold.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 NAMES = [n for n in entry.queries() if not n.startswith("op") and n != "pipeline"]
@@ -75,3 +76,17 @@ def test_character_grams_bring_misspelt_names_together(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     got = entry.queries()["features_fuzzy"](spark, str(tmp_path)).collect()
     assert [(r.sid, r.cid) for r in got] == [("S1-0", "S2-1")]
+
+
+#: What leaves the tiles of a query: the scheme, and how many pairs of an S1 record.
+LEAVES = {
+    "alignment": {("sum", catalog.TOP)},
+}
+
+
+@pytest.mark.parametrize("name", LEAVES)
+def test_pairs_stay_in_their_tiles(spark, monkeypatch, name):
+    calls, meet = [], tiles.meet
+    monkeypatch.setattr(tiles, "meet", lambda *a: calls.append(a[3:5]) or meet(*a))
+    catalog.R[name](spark, SF)
+    assert set(calls) == LEAVES[name]
