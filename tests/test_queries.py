@@ -81,6 +81,7 @@ def test_character_grams_bring_misspelt_names_together(spark, tmp_path):
 #: What leaves the tiles of a query: the scheme, and how many pairs of an S1 record.
 LEAVES = {
     "alignment": {("sum", catalog.TOP)},
+    "assemble_matches": {("sum", catalog.TOP)},
 }
 
 
