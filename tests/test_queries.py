@@ -82,6 +82,7 @@ def test_character_grams_bring_misspelt_names_together(spark, tmp_path):
 LEAVES = {
     "alignment": {("sum", catalog.TOP)},
     "assemble_matches": {("sum", catalog.TOP)},
+    "best_second_margin": {("sum", catalog.TOP)},
 }
 
 
