@@ -83,6 +83,7 @@ LEAVES = {
     "alignment": {("sum", catalog.TOP)},
     "assemble_matches": {("sum", catalog.TOP)},
     "best_second_margin": {("sum", catalog.TOP)},
+    "block_char_3gram_overlap": {("hits", None)},
 }
 
 
