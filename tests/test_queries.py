@@ -84,6 +84,8 @@ LEAVES = {
     "assemble_matches": {("sum", catalog.TOP)},
     "best_second_margin": {("sum", catalog.TOP)},
     "block_char_3gram_overlap": {("hits", None)},
+    "block_topk": {("sum", catalog.TOP)},
+    "candidate_layouts": {("sum", catalog.TOP)},
 }
 
 
