@@ -86,6 +86,7 @@ LEAVES = {
     "block_char_3gram_overlap": {("hits", None)},
     "block_topk": {("sum", catalog.TOP)},
     "candidate_layouts": {("sum", catalog.TOP)},
+    "candidate_list_export": {("sum", catalog.TOP)},
 }
 
 
