@@ -87,6 +87,7 @@ LEAVES = {
     "block_topk": {("sum", catalog.TOP)},
     "candidate_layouts": {("sum", catalog.TOP)},
     "candidate_list_export": {("sum", catalog.TOP)},
+    "candidate_list_parse": {("sum", catalog.TOP)},
 }
 
 
