@@ -88,6 +88,7 @@ LEAVES = {
     "candidate_layouts": {("sum", catalog.TOP)},
     "candidate_list_export": {("sum", catalog.TOP)},
     "candidate_list_parse": {("sum", catalog.TOP)},
+    "candidate_score_rank": {("sum", catalog.TOP)},
 }
 
 
