@@ -89,6 +89,7 @@ LEAVES = {
     "candidate_list_export": {("sum", catalog.TOP)},
     "candidate_list_parse": {("sum", catalog.TOP)},
     "candidate_score_rank": {("sum", catalog.TOP)},
+    "classification_report": {("sum", catalog.TOP)},
 }
 
 
