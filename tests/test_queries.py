@@ -90,6 +90,7 @@ LEAVES = {
     "candidate_list_parse": {("sum", catalog.TOP)},
     "candidate_score_rank": {("sum", catalog.TOP)},
     "classification_report": {("sum", catalog.TOP)},
+    "decide_threshold": {("sum", catalog.TOP)},
 }
 
 
