@@ -91,6 +91,7 @@ LEAVES = {
     "candidate_score_rank": {("sum", catalog.TOP)},
     "classification_report": {("sum", catalog.TOP)},
     "decide_threshold": {("sum", catalog.TOP)},
+    "features_proxy": {("sum", catalog.TOP)},
 }
 
 
