@@ -92,6 +92,7 @@ LEAVES = {
     "classification_report": {("sum", catalog.TOP)},
     "decide_threshold": {("sum", catalog.TOP)},
     "features_proxy": {("sum", catalog.TOP)},
+    "fetch_records": {("sum", catalog.TOP)},
 }
 
 
