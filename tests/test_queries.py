@@ -93,6 +93,7 @@ LEAVES = {
     "decide_threshold": {("sum", catalog.TOP)},
     "features_proxy": {("sum", catalog.TOP)},
     "fetch_records": {("sum", catalog.TOP)},
+    "first_recovering_rule": set(),
 }
 
 
