@@ -94,6 +94,7 @@ LEAVES = {
     "features_proxy": {("sum", catalog.TOP)},
     "fetch_records": {("sum", catalog.TOP)},
     "first_recovering_rule": set(),
+    "group_split": {("sum", catalog.TOP)},
 }
 
 
