@@ -95,6 +95,7 @@ LEAVES = {
     "fetch_records": {("sum", catalog.TOP)},
     "first_recovering_rule": set(),
     "group_split": {("sum", catalog.TOP)},
+    "label_pairs": {("sum", catalog.TOP)},
 }
 
 
