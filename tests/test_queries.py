@@ -96,6 +96,7 @@ LEAVES = {
     "first_recovering_rule": set(),
     "group_split": {("sum", catalog.TOP)},
     "label_pairs": {("sum", catalog.TOP)},
+    "lookup_completeness": {("sum", catalog.TOP)},
 }
 
 
