@@ -97,6 +97,7 @@ LEAVES = {
     "group_split": {("sum", catalog.TOP)},
     "label_pairs": {("sum", catalog.TOP)},
     "lookup_completeness": {("sum", catalog.TOP)},
+    "macro_f05": {("sum", catalog.TOP)},
 }
 
 
