@@ -98,6 +98,7 @@ LEAVES = {
     "label_pairs": {("sum", catalog.TOP)},
     "lookup_completeness": {("sum", catalog.TOP)},
     "macro_f05": {("sum", catalog.TOP)},
+    "pair_metrics": {("sum", catalog.TOP)},
 }
 
 
