@@ -99,6 +99,7 @@ LEAVES = {
     "lookup_completeness": {("sum", catalog.TOP)},
     "macro_f05": {("sum", catalog.TOP)},
     "pair_metrics": {("sum", catalog.TOP)},
+    "probability_by_truth": {("sum", catalog.TOP)},
 }
 
 
