@@ -100,6 +100,7 @@ LEAVES = {
     "macro_f05": {("sum", catalog.TOP)},
     "pair_metrics": {("sum", catalog.TOP)},
     "probability_by_truth": {("sum", catalog.TOP)},
+    "rank_max": {("max", None)},
 }
 
 
