@@ -101,6 +101,7 @@ LEAVES = {
     "pair_metrics": {("sum", catalog.TOP)},
     "probability_by_truth": {("sum", catalog.TOP)},
     "rank_max": {("max", None)},
+    "rank_sum": {("sum", None)},
 }
 
 
