@@ -102,6 +102,7 @@ LEAVES = {
     "probability_by_truth": {("sum", catalog.TOP)},
     "rank_max": {("max", None)},
     "rank_sum": {("sum", None)},
+    "rank_votes": {("votes", None)},
 }
 
 
