@@ -103,6 +103,7 @@ LEAVES = {
     "rank_max": {("max", None)},
     "rank_sum": {("sum", None)},
     "rank_votes": {("votes", None)},
+    "recall_averages": {("sum", catalog.TOP)},
 }
 
 
