@@ -124,6 +124,43 @@ def test_passages_brute_force(spark):
     assert repeats > 1000
 
 
+def test_every_pair_of_near_passages_is_reported(spark):
+    """A family of near copies and phrases of it: each pair over the threshold, not only that with the first document."""
+    rnd = np.random.default_rng(5)
+    words = lambda n: [f"w{x}" for x in rnd.integers(0, 10**9, n)]
+    base, rows = words(150), []
+    for i in range(40):
+        edited = list(base)
+        for k in rnd.choice(150, 1 + i % 4, replace=False):
+            edited[k] = words(1)[0]
+        rows.append((i, words(30) + edited + words(40)))
+    rows += [(100 + i, words(60) + base[3 * i : 3 * i + 12] + words(50)) for i in range(20)]
+    want = set()
+    for b, y in rows:
+        there = {tuple(y[k : k + 5]) for k in range(len(y) - 4)}
+        for a, x in rows:
+            hit = np.asarray([tuple(x[k : k + 5]) in there for k in range(len(x) - 4)])
+            if a > b and substring.passages(hit, 46, 0.8):
+                want.add((a, b))
+    got = {(r.doc_id, r.earlier_id) for r in substring.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], TEXTS)).collect()}
+    assert len(want) > 600 and len(got & want) >= 0.99 * len(want) and got <= want
+
+
+def test_groups_are_paired_in_slices(monkeypatch):
+    rnd = np.random.default_rng(6)
+    links = [(k, 1 + int(rnd.integers(1, n)), 0, *rnd.integers(0, 9, 4).tolist()) for k, n in enumerate((3, 9, 40)) for _ in range(3 * n)]
+    cols = [np.asarray(c) for c in zip(*links)]
+    members = {k: {(r[1], r[3], r[4]) for r in links if r[0] == k} | {(r[2], r[5], r[6]) for r in links if r[0] == k} for k in range(3)}
+    for size in (7, 10**6):
+        monkeypatch.setattr(substring, "PAIR_ROWS", size)
+        got = [r for part in substring.paired(*cols, 20) for r in zip(*(c.tolist() for c in part))]
+        assert sorted(r for r in got if r[0] == 2) == sorted(r for r in links if r[0] == 2)
+        for k in (0, 1):
+            mine = [r for r in got if r[0] == k]
+            assert len(set(mine)) == len(mine) and {(r[1], r[2]) for r in mine} == {(a, b) for a, *_ in members[k] for b, *_ in members[k] if a > b}
+            assert {x for r in mine for x in ((r[1], r[3], r[4]), (r[2], r[5], r[6]))} == members[k]
+
+
 def brute_links(x, ids, bound=0.95):
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     link = (u @ u.T >= bound) & ~np.eye(len(x), dtype=bool)
