@@ -320,3 +320,72 @@ def test_shared_folder_is_asked_for_off_the_local_master():
 def test_partitions_grow_with_the_table(spark):
     assert common.parts(spark, 10, 100) == int(spark.conf.get("spark.sql.shuffle.partitions")) and common.parts(spark, 10**9, 10**5) == 10**4
     assert common.join_small(spark.range(5), spark.range(3), "id").count() == 3 and F
+
+
+def test_pairs_are_checked_side_by_side_like_one_by_one(monkeypatch):
+    """Windows of all functions at once, covered intervals and verified pairs against plain loops, in batches cut anywhere."""
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    h[500:700] = h[100:300]
+    bounds = np.asarray([0, 3, 900, 900, 4000])
+    for got, seed in zip(substring.windows_of(h, bounds, 46, [1, 2, 3]), (1, 2, 3)):
+        want = set()
+        value = substring.shingles.mix(h ^ np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) & ~np.uint64((1 << 20) - 1) | np.arange(4000, dtype=np.uint64)
+        todo = [(a, z) for a, z in zip(bounds.tolist(), bounds[1:].tolist())]
+        while todo:
+            a, z = todo.pop()
+            if z - a >= 46:
+                c = a + int(value[a:z].argmin())
+                want.add((a, c, z))
+                todo += [(a, c), (c + 1, z)]
+        assert set(zip(*(x.tolist() for x in got))) == want and want
+    n = 400
+    owner, f, l = np.sort(rng.integers(0, 30, n)), rng.integers(0, 6, n), rng.integers(0, 300, n)
+    r = l + rng.integers(1, 120, n)
+    want = []
+    for o in range(30):
+        cover = np.zeros(500, int)
+        for k in range(6):
+            on = np.zeros(500, bool)
+            for a, z in zip(l[(owner == o) & (f == k)], r[(owner == o) & (f == k)]):
+                on[a:z] = True
+            cover += on
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], (cover >= 2).astype(int), [0]]))).reshape(-1, 2)
+        want += [(o, a, z) for a, z in edge.tolist() if z - a >= 20]
+    assert list(zip(*(x.tolist() for x in substring.overlapping(owner, f, l, r, 2, 20)))) == want
+    least, rows, want = 10, [], set()
+    for cell in range(6):
+        texts = {d: rng.integers(0, 1 << 62, 300) for d in range(cell * 10, cell * 10 + 4)}
+        for later in (2, 3):
+            for earlier in (0, 1):
+                at = int(rng.integers(20, 200))
+                texts[cell * 10 + later][at : at + 60] = texts[cell * 10 + earlier][at - 15 : at + 45]
+                texts[cell * 10 + later][at + 20 + 11 * later] = 7
+        rows += [(cell, 0, 0, cell * 10 + d, None, [[0, 300]], None, texts[cell * 10 + d].tolist()) for d in (0, 1)]
+        for later in (2, 3):
+            doc = cell * 10 + later
+            rows.append((cell, 0, 1, doc, None, [[0, 140], [150, 300]], None, np.delete(texts[doc], range(140, 150)).tolist()))
+            for earlier in (cell * 10, cell * 10 + 1):
+                mine, theirs = [[0, 140], [150, 300]], [[0, 200], [150, 290]]
+                rows.append((cell, 0, 1, doc, earlier, mine, theirs, None))
+                there = set(texts[earlier][:290].tolist())
+                whole = {tuple(texts[earlier][i : i + least].tolist()) for i in range(291)}
+                for p, q in mine:
+                    hit = np.asarray([x in there for x in texts[doc][p:q].tolist()])
+                    want |= {(doc, p + a, p + z + 4, earlier, 0) for a, z in substring.passages(hit, least, 0.8)}
+                    same = np.asarray([tuple(texts[doc][i : i + least].tolist()) in whole for i in range(p, q - least + 1)])
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], same.astype(int), [0]]))).reshape(-1, 2)
+                    want |= {(doc, p + a, p + z + least + 3, earlier, 1) for a, z in edge.tolist()}
+    kind = pa.list_(pa.list_(pa.int32()))
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), kind, kind, pa.list_(pa.int64())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["cell", "share", "role", "doc_id", "b", "mine", "theirs", "tokens"])
+    assert len(want) > 40
+    for size, chunk in ((len(rows), 1_000_000), (1, 50), (5, 500)):
+        monkeypatch.setattr(substring, "CHUNK", chunk)
+        got, kept = set(), batch.slice(0, 0)
+        for lo in range(0, len(rows), size):
+            t = pa.Table.from_batches([kept, batch.slice(lo, size)]).combine_chunks().to_batches()[0]
+            cols, open_ = substring.verified(t, least, 0.8)
+            got |= set(zip(*(c.tolist() for c in cols)))
+            kept = t.take(pa.array(open_))
+        assert got == want
