@@ -146,6 +146,50 @@ def test_every_pair_of_near_passages_is_reported(spark):
     assert len(want) > 600 and len(got & want) >= 0.99 * len(want) and got <= want
 
 
+def test_every_pair_of_a_crowded_passage_is_reported(spark):
+    """More near copies of a passage than are paired whole, behind one that holds half of it and 130 exact copies of that half."""
+    rnd = np.random.default_rng(7)
+    words = lambda n: [f"w{x}" for x in rnd.integers(0, 10**9, n)]
+    base = words(110)
+    rows = [(i, words(20) + base[:55] + words(30)) for i in range(130)]
+    for i in range(130):
+        edited = list(base)
+        for k in [5 + i % 45, 58 + (7 * i) % 50, 58 + (11 * i + 3) % 50]:
+            edited[k] = words(1)[0]
+        rows.append((1000 + i, words(30) + edited + words(20)))
+    want = set()
+    for b, y in rows[130:]:
+        there = {tuple(y[k : k + 5]) for k in range(len(y) - 4)}
+        for a, x in rows[130:]:
+            hit = np.asarray([tuple(x[k : k + 5]) in there for k in range(len(x) - 4)])
+            if a > b and substring.passages(hit, 46, 0.8):
+                want.add((a, b))
+    got = {(r.doc_id, r.earlier_id) for r in substring.repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], TEXTS)).collect()}
+    assert {(i, 0) for i in range(1, 130)} <= got and len(want) > 3000
+    assert len(got & want) >= 0.99 * len(want), (len(got & want), len(want))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_representatives_hold_what_is_left_out(seed):
+    rnd = np.random.default_rng(seed)
+    base = rnd.integers(0, 40, (4, 30))
+    texts = [np.concatenate([base[rnd.integers(4)][: rnd.integers(5, 30)], rnd.integers(0, 60 if i % 3 else 10**6, rnd.integers(0, 9))]) for i in range(120)]
+    owner, token = np.repeat(np.arange(120), [len(t) for t in texts]), np.concatenate(texts)
+    need = 12
+    got = set(zip(*(x.tolist() for x in substring.representatives(owner, token, need))))
+    sets = [set(t.tolist()) for t in texts]
+    enough = lambda a, b: sum(x in sets[b] for x in texts[a].tolist()) >= need
+    assert all(b < a and enough(a, b) for a, b in got)
+    left = 0
+    for a in range(120):
+        for b in range(a):
+            if enough(a, b) and (a, b) not in got:
+                left += 1
+                both = sets[a] & sets[b]
+                assert any((a, z) in got and both <= sets[z] for z in range(a)) or any(both <= sets[z] and ((b, z) in got) and ((a, z) in got) for z in range(b))
+    assert left
+
+
 def test_groups_are_paired_in_slices(monkeypatch):
     rnd = np.random.default_rng(6)
     links = [(k, 1 + int(rnd.integers(1, n)), 0, *rnd.integers(0, 9, 4).tolist()) for k, n in enumerate((3, 9, 40)) for _ in range(3 * n)]
