@@ -13,6 +13,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import math
@@ -78,6 +79,18 @@ def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], n: str, tot
     return rows.join(few, keys).unionByName(rows.join(F.broadcast(table.where(hot).select(keys)), keys, "left_anti").join(table.where(~hot), keys))
 
 
+def with_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` with texts joined with narrow ``wanted`` by ``_key``, so that no text is shuffled.
+
+    ``wanted`` is broadcast in slices of about ``common.BROADCAST_ROWS`` keys; each slice
+    reads ``rows`` once.
+    """
+    n = max(1, -(-wanted.count() // common.BROADCAST_ROWS))
+    part = F.pmod(F.xxhash64("_key"), F.lit(n))
+    out = [rows.where(part == i).join(F.broadcast(wanted.where(part == i)), "_key") for i in range(n)]
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 def exact_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     """Rows (doc_id, fingerprint, first_id, n_equal): the class of each document.
 
@@ -95,7 +108,8 @@ def exact_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))
     # an id met in several buckets takes the fewest groups, which all of them have
     wanted = many.groupBy(F.coalesce("doc_id", F.lit(LOWEST)).alias("_key")).agg(F.min(groups).alias("_groups"))
-    involved = docs.select(key.alias("_key"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "_key")
+    wanted = common.staged(wanted, "wanted")
+    involved = with_wanted(docs.select(key.alias("_key"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), wanted)
     involved = involved.withColumn("group", F.pmod(F.xxhash64("doc_id"), F.col("_groups")))
     texts = common.staged(fingerprints(involved, with_canonical=True, carry="group"), "texts")  # read twice
     first = texts.groupBy("fingerprint").agg(F.min_by("canonical", F.coalesce("doc_id", F.lit(LOWEST))).alias("first_text"))
@@ -103,7 +117,10 @@ def exact_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame
     compared = texts.join(first, ["fingerprint", "group"]).select(
         "doc_id", "fingerprint", F.when(F.col("canonical") == F.col("first_text"), F.lit("")).otherwise(F.sha2("canonical", 256)).alias("split"))
     compared = common.staged(compared, "buckets")
+    for old in (sizes, wanted, texts):
+        common.dispose(old)
     classes = common.staged(compared.groupBy("fingerprint", "split").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_equal")), "classes")
+    common.free_shuffles(docs.sparkSession)
     equal = join_counted(compared, classes, ["fingerprint", "split"], "n_equal", total).select("doc_id", "fingerprint", "first_id", "n_equal").dropDuplicates(["doc_id", "fingerprint", "first_id"])
     return fps.join(equal, (fps.doc_id.eqNullSafe(equal.doc_id)) & (fps.fingerprint == equal.fingerprint), "left").select(
         fps.doc_id, fps.fingerprint, F.coalesce("first_id", fps.doc_id).alias("first_id"), F.coalesce("n_equal", F.lit(1)).alias("n_equal"))

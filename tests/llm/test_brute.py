@@ -190,6 +190,30 @@ def test_representatives_hold_what_is_left_out(seed):
     assert left
 
 
+def test_no_text_is_shuffled_to_find_its_bucket(spark, monkeypatch):
+    rows = [(i, f"text {i // 3}") for i in range(300)] + [(i, f"single {i}") for i in range(300, 400)] + [(None, "text 5"), (None, None)]
+    staged, plans = common.staged, {}
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name)
+
+    monkeypatch.setattr(common, "staged", spy)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for size in (10**6, 40):  # one slice of wanted ids, and eight
+            monkeypatch.setattr(common, "BROADCAST_ROWS", size)
+            got = {(r.doc_id, r.fingerprint): (r.first_id, r.n_equal) for r in fingerprint.exact_groups(spark.createDataFrame(rows, TEXTS)).collect()}
+            assert "BroadcastHashJoin" in plans["texts"] and "Exchange hashpartitioning" not in plans["texts"] and "SortMergeJoin" not in plans["texts"]
+            members = {}
+            for i, t in rows:
+                members.setdefault(fingerprint.canonical(t), []).append(i)
+            assert got == {(i, fingerprint.digest(c)): (min((x for x in m if x is not None), default=None), len(m)) for c, m in members.items() for i in m}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_groups_are_paired_in_slices(monkeypatch):
     rnd = np.random.default_rng(6)
     links = [(k, 1 + int(rnd.integers(1, n)), 0, *rnd.integers(0, 9, 4).tolist()) for k, n in enumerate((3, 9, 40)) for _ in range(3 * n)]
