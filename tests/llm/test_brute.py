@@ -1,6 +1,7 @@
 """Brute-force twins, repeated ids, ties, clashing names and size switches."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -169,6 +170,45 @@ def test_every_pair_of_a_crowded_passage_is_reported(spark):
     assert len(got & want) >= 0.99 * len(want), (len(got & want), len(want))
 
 
+def test_a_crowd_sends_its_texts_once_a_square_of_pairs(spark, monkeypatch):
+    """Texts of a crowd are not sent once a pair, however its pairs are dealt; windows go before pairs are made."""
+    rnd = np.random.default_rng(8)
+    words = lambda n: [f"w{x}" for x in rnd.integers(0, 10**9, n)]
+    base, rows = words(110), []
+    for i in range(130):
+        edited = list(base)
+        for k in [5 + i % 45, 58 + (7 * i) % 50, 58 + (11 * i + 3) % 50]:
+            edited[k] = words(1)[0]
+        rows.append((i, words(30) + edited + words(20)))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], TEXTS)
+    staged, tables, counts, left = common.staged, {}, [], []
+
+    def spy(df, name):
+        out = tables[name] = staged(df, name)
+        if name == "needed":
+            counts.append(out.count())
+        if name == "pairs":
+            left.append(os.path.exists(tables["windows"]._samefold_path.removeprefix("file:")))
+        return out
+
+    monkeypatch.setattr(common, "staged", spy)
+    got = []
+    for size in (20_000, 200):  # one square, and many
+        monkeypatch.setattr(substring, "CELL_PAIRS", size)
+        got.append(sorted(tuple(r) for r in substring.repeated_passages(docs).collect()))
+    assert got[0] == got[1] and len(got[0]) > 3000
+    assert counts[0] <= 3 * 130 and counts[2] < len(got[0]) / 2, counts
+    assert left == [False, False]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_slots_tell_what_they_hold(seed):
+    rnd = np.random.default_rng(seed)
+    known = np.concatenate([rnd.integers(0, 1 << 64, 3000 * seed, np.uint64), np.arange(2 * seed, dtype=np.uint64) << np.uint64(20)])
+    x = np.concatenate([known, rnd.integers(0, 1 << 64, 5000, np.uint64), ~np.arange(300, dtype=np.uint64), np.arange(300, dtype=np.uint64)])
+    assert (substring.among(x, substring.slots(known)) == np.isin(x, known)).all()
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_representatives_hold_what_is_left_out(seed):
     rnd = np.random.default_rng(seed)
