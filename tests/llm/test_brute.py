@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from samefold.llm import bagminhash, common, embed_dedup, fingerprint, packing, quality, secrets, shingles, substring, tokens, toxicity
+from samefold.llm import bagminhash, common, embed_dedup, fingerprint, packing, quality, queries, secrets, shingles, substring, tokens, toxicity
 
 SF = "/root/testdata/sf0.001"
 TEXTS = "doc_id long, text string"
@@ -201,6 +201,41 @@ def test_a_crowd_sends_its_texts_once_a_square_of_pairs(spark, monkeypatch):
     assert left == [False, False]
 
 
+def test_a_crowd_takes_rows_of_its_documents_and_keeps_all_links(spark, monkeypatch):
+    """No table of op2 holds a row a pair, and its result names every document of ``repeated_passages``."""
+    rnd = np.random.default_rng(9)
+    words = lambda n: [f"w{x}" for x in rnd.integers(0, 10**9, n)]
+    base, rows = words(110), []
+    for i in range(130):
+        edited = list(base)
+        for k in [5 + i % 45, 58 + (7 * i) % 50, 58 + (11 * i + 3) % 50]:
+            edited[k] = words(1)[0]
+        rows.append((i, words(30) + edited + words(20)))
+    rows += [(200, rows[7][1])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], TEXTS)
+    monkeypatch.setattr(substring, "CELL_PAIRS", 2000)  # several squares, whose passages overlap
+    want = {}
+    for r in sorted(tuple(r) for r in substring.repeated_passages(docs).collect()):
+        held = want.setdefault(r[0], [])
+        if held and r[1] < held[-1][1]:
+            held[-1][1], held[-1][2] = max(held[-1][1], r[2]), held[-1][2] | {r[3]}
+        else:
+            held.append([r[1], r[2], {r[3]}])
+    staged, counts = common.staged, {}
+
+    def spy(df, name):
+        out = staged(df, name)
+        counts[name] = max(counts.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(common, "staged", spy)
+    monkeypatch.setattr(queries, "documents", lambda spark, sf: docs)
+    got = queries.op2_substring_dedup(spark, "").collect()
+    assert sorted((r.doc_id, r.start_word, r.end_word, r.links) for r in got) == sorted((d, a, z, sorted(b)) for d, x in want.items() for a, z, b in x)
+    assert all(r.earlier_id == r.links[0] and r.n_links == len(r.links) for r in got) and sum(r.n_links for r in got) > 3000
+    assert counts["pairs"] <= 130 and counts["dealt"] <= 3 * 130 and counts["found"] <= 9 * 130, counts
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_slots_tell_what_they_hold(seed):
     rnd = np.random.default_rng(seed)
